@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.catalog import relational, windows  # noqa: F401  (import registers)
+from tallymart.catalog import relational, reports, windows  # noqa: F401  (import registers)
 from tallymart.catalog.registry import ORACLES, QUERIES
 
 
