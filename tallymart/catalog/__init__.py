@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.catalog import relational, reports, windows  # noqa: F401  (import registers)
+from tallymart.catalog import (  # noqa: F401  (import registers)
+    cleaning,
+    mutation,
+    profiling,
+    quality_rules,
+    relational,
+    reports,
+    sources_sinks,
+    windows,
+)
 from tallymart.catalog.registry import ORACLES, QUERIES
 
 
