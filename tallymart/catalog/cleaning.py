@@ -69,9 +69,13 @@ def clean_dedup_rows(t):
     return clean.drop_duplicate_rows(t.dirty_customers)
 
 
-@query("clean_dedup_any")
+@query("clean_dedup_any", "SELECT DISTINCT user_id, transaction_date, 'kept' AS survivor FROM retail")
 def clean_dedup_any(t):
-    return clean.keep_any(t.retail.select("user_id", "transaction_date", "store_id"), ["user_id", "transaction_date"])
+    keys = ["user_id", "transaction_date"]
+    kept = clean.keep_any(t.retail.select(*keys, "store_id"), keys)
+    # which store survives is open, that one does is not
+    survivor = F.when(F.col("store_id").isNotNull(), "kept")
+    return kept.select(*keys, survivor.alias("survivor"))
 
 
 @query(
@@ -178,17 +182,13 @@ def clean_products(t):
 
 @query("clean_orders", "SELECT * FROM ok_orders")
 def clean_orders(t):
-    customers = shop_cleaning.clean_customers(t.dirty_customers, ["arrival"])
+    customers = materialise(shop_cleaning.clean_customers(t.dirty_customers, ["arrival"]))
     return shop_cleaning.clean_orders(t.dirty_orders, customers, ["arrival"])
 
 
 @query("clean_items", "SELECT * REPLACE (CAST(line_total AS DOUBLE) AS line_total) FROM ok_items")
 def clean_items(t):
-    customers = shop_cleaning.clean_customers(t.dirty_customers, ["arrival"])
-    products = shop_cleaning.clean_products(t.dirty_products, ["arrival"])
-    orders = shop_cleaning.clean_orders(t.dirty_orders, customers, ["arrival"])
-    items = shop_cleaning.clean_items(t.dirty_items, orders, products, ITEM_KEYS, ITEM_ARRIVAL)
-    return items.withColumn("line_total", F.col("line_total").cast("double"))
+    return cleaned_shop(t).items.withColumn("line_total", F.col("line_total").cast("double"))
 
 
 @query("clean_shop_orders", "SELECT order_id, customer_id, order_date, status FROM ok_sold_orders")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
 
 from tallymart.catalog.registry import query
 from tallymart.operators import merge
+from tallymart.session import new_path
+from tallymart.sources import writers
 
 DAY1, DAY2 = date(2026, 1, 1), date(2026, 2, 1)
 TRACKED = ["status", "total_amount", "priority"]
@@ -26,6 +29,17 @@ def merge_scd1(t):
     return _plain(merge.upsert(t.orders, t.order_feed, ["order_id"]))
 
 
+@query(
+    "merge_table",
+    f"SELECT {_COLUMNS} FROM (SELECT * FROM order_feed UNION ALL SELECT * FROM shop_orders WHERE order_id NOT IN (SELECT order_id FROM order_feed))",
+)
+def merge_table(t):
+    """The feed merged into a table by name."""
+    name = f"tallymart_{uuid.uuid4().hex}"
+    writers.replace_table(t.orders, name, new_path(t.spark, "table"))
+    return _plain(merge.upsert_table(name, t.order_feed, ["order_id"], new_path(t.spark, "table")))
+
+
 @query(
     "merge_scd1_columns",
     """SELECT order_id, CASE WHEN f_hit THEN f_status ELSE status END AS status, CAST(total_amount AS DOUBLE) AS total_amount FROM (

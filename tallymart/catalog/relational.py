@@ -50,15 +50,17 @@ def proj_line_total(t):
 
 @query("flt_compare", "SELECT product_id, product_name, CAST(unit_price AS DOUBLE) AS unit_price FROM shop_products WHERE unit_price > 950")
 def flt_compare(t):
-    return t.products.filter(F.col("unit_price") > 950).select(
-        "product_id", "product_name", F.col("unit_price").cast("double").alias("unit_price")
+    return t.raw("part").filter(F.col("p_retailprice") > 950).select(
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_retailprice").alias("unit_price"),
     )
 
 
 @query("flt_and", "SELECT order_id, customer_id FROM shop_orders WHERE status = 'completed' AND total_amount > 400000")
 def flt_and(t):
-    rows = t.orders.filter((F.col("status") == "completed") & (F.col("total_amount") > 400000))
-    return rows.select("order_id", "customer_id")
+    rows = t.raw("orders").filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 400000))
+    return rows.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"))
 
 
 @query("flt_or", "SELECT order_id, status, priority FROM shop_orders WHERE status = 'pending' OR priority = '1-URGENT'")
@@ -72,6 +74,11 @@ def flt_not_equal(t):
     return t.order_feed.filter(F.col("status") != "cancelled").select("order_id", "status")
 
 
+@query("flt_ignore_case", "SELECT product_id, category FROM shop_products WHERE lower(category) = 'promo'")
+def flt_ignore_case(t):
+    return t.products.filter(text.same_ignoring_case(F.col("category"), "Promo")).select("product_id", "category")
+
+
 @query("flt_between", "SELECT order_id, order_date FROM shop_orders WHERE order_date BETWEEN DATE '1997-08-10' AND DATE '1997-08-25'")
 def flt_between(t):
     # on the raw column, so that the range reaches the Parquet scan
@@ -180,7 +187,7 @@ def join_cross_bound(t):
 
 @query("join_anti", f"SELECT c.customer_id, c.name FROM shop_customers c ANTI JOIN {_PAID} o ON c.customer_id = o.customer_id")
 def join_anti(t):
-    done = t.orders.filter(F.col("status") == "completed").select("customer_id")
+    done = t.orders.filter(F.col("status") == "completed").select("customer_id").distinct()
     return t.customers.join(done, "customer_id", "left_anti").select("customer_id", "name")
 
 
@@ -202,7 +209,7 @@ def join_orphans(t):
 
 @query("join_semi", "SELECT customer_id, name FROM shop_customers WHERE customer_id IN (SELECT customer_id FROM shop_orders WHERE total_amount > 400000)")
 def join_semi(t):
-    large = t.orders.filter(F.col("total_amount") > 400000).select("customer_id")
+    large = t.orders.filter(F.col("total_amount") > 400000).select("customer_id").distinct()
     return t.customers.join(large, "customer_id", "left_semi").select("customer_id", "name")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallymart.catalog.registry import query
@@ -111,9 +112,14 @@ def src_file_audit(t):
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "modificationTime")
 
 
-@query("snk_format_sizes")
+@query(
+    "snk_format_sizes",
+    "SELECT 'csv' AS format, count(*) AS n_rows, FALSE AS smallest FROM lineitem UNION ALL SELECT 'parquet', count(*), TRUE FROM lineitem",
+)
 def snk_format_sizes(t):
-    return writers.compare_formats(t.items, new_path(t.spark, "formats"))
+    sizes = writers.compare_formats(t.items, new_path(t.spark, "formats"))
+    least = F.min("n_bytes").over(Window.partitionBy(F.lit(1)))  # two rows
+    return sizes.select("format", "n_rows", (F.col("n_bytes") == least).alias("smallest"))
 
 
 @query("copy_verify", "SELECT count(*) AS n_source, count(*) AS n_target, TRUE AS same_rows FROM orders")

@@ -25,6 +25,11 @@ def missing_to_null(c: Column, words: Iterable[str] = MISSING_WORDS) -> Column:
     return F.when(~c.isin(*words), c)
 
 
+def same_ignoring_case(c: Column, text: str) -> Column:
+    """Comparison as databases with a case-insensitive default collation make it."""
+    return F.collate(c, "UTF8_LCASE") == F.lit(text)
+
+
 def is_blank(c: Column) -> Column:
     return F.trim(c) == ""
 

@@ -74,8 +74,8 @@ def keep_known(df: DataFrame, parent: DataFrame, key: str, parent_key: str | Non
 
 
 def keep_parents_with_children(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
-    """Parents that still have at least one child row."""
-    return parent.join(child.select(key), key, "left_semi")
+    """Parents that still have at least one child row; child keys shrink to one row each first."""
+    return parent.join(child.select(key).distinct(), key, "left_semi")
 
 
 def keep_reachable(df: DataFrame, email: str = "email", username: str = "username") -> DataFrame:

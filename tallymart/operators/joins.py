@@ -14,10 +14,11 @@ def keep_all_parents(parent: DataFrame, child: DataFrame, key: str) -> DataFrame
     """``parent LEFT JOIN child`` for a key that may hold a large share of the child rows.
 
     A left outer join cannot split a hot key of its right side, an inner join can.
-    So the matches come from an inner join, and parents without a child are added.
+    So the matches come from an inner join, and parents without a child are added;
+    the child keys shrink to one row each before that second join.
     """
     matched = parent.join(child, key)
-    lonely = parent.join(child.select(key), key, "left_anti")
+    lonely = parent.join(child.select(key).distinct(), key, "left_anti")
     return matched.unionByName(lonely, allowMissingColumns=True)
 
 

@@ -11,32 +11,28 @@ from collections.abc import Sequence
 from datetime import date
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.operators import quality
 from tallymart.operators.joins import changed_rows, differs
+from tallymart.session import materialise
+from tallymart.sources import writers
 
 
-def unique_feed(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``source``, failing at run time on a NULL or repeated key."""
-    rest = [c for c in source.columns if c not in keys]
+def stored_feed(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source`` stored once, or an error where a key is NULL or repeated.
+
+    The merge reads the feed several times; stored, it is computed once and Spark knows its size.
+    """
+    feed = materialise(source, "feed")
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
-    label = ", ".join(keys)
-    rows = F.first(F.struct(*rest)) if rest else F.lit(None)
-    valid = (
-        F.when(any_null, F.raise_error(F.lit(f"feed has a NULL in key ({label})")).cast("boolean"))
-        .when(F.col("_n") > 1, F.raise_error(F.lit(f"feed repeats a key ({label})")).cast("boolean"))
-        .otherwise(True)
-    )
-    return (
-        source.groupBy(*keys)
-        .agg(F.count("*").alias("_n"), rows.alias("_row"))
-        .filter(valid)
-        .select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in source.columns])
-    )
+    bad = feed.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter((F.col("n_rows") > 1) | any_null).head(1)
+    if bad:
+        raise ValueError(f"the feed repeats a key or has none: {bad[0].asDict()}")
+    return feed
 
 
 def upsert(
@@ -45,7 +41,7 @@ def upsert(
     """Matched keys take the source's values (its NULLs too), new keys are added, nothing is deleted."""
     keys = list(keys)
     update = [c for c in target.columns if c not in keys] if update_columns is None else list(update_columns)
-    feed = unique_feed(source.select(*target.columns), keys)
+    feed = stored_feed(source.select(*target.columns), keys)
     news = feed.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in update], F.lit(True).alias("_hit"))
     updated = target.join(news, keys, "left").select(
         *[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
@@ -55,23 +51,29 @@ def upsert(
     return updated.unionByName(feed.join(known, keys, "left_anti"))
 
 
-def merge_metrics(target: DataFrame, source: DataFrame, keys: Sequence[str], as_of: date) -> DataFrame:
+def merge_metrics(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], as_of: date | None = None
+) -> DataFrame:
     """One row: target rows updated, inserted and left unchanged by ``upsert``."""
     keys = list(keys)
-    feed = unique_feed(source.select(*keys), keys)
+    feed = stored_feed(source.select(*keys), keys)
     known = target.select(*keys).join(feed, keys, "left_semi")
     count = lambda df: df.agg(F.count("*")).scalar()
     return (
         known.agg(F.count("*").alias("rows_updated"))
         .withColumn("rows_inserted", count(feed) - F.col("rows_updated"))
         .withColumn("rows_unchanged", count(target) - F.col("rows_updated"))
-        .withColumn("as_of", F.lit(as_of))
+        .withColumn("as_of", _day(as_of))
     )
 
 
-def scd2_init(df: DataFrame, as_of: date) -> DataFrame:
+def _day(as_of: date | None) -> Column:
+    return F.current_date() if as_of is None else F.lit(as_of)
+
+
+def scd2_init(df: DataFrame, as_of: date | None = None) -> DataFrame:
     return (
-        df.withColumn("effective_date", F.lit(as_of))
+        df.withColumn("effective_date", _day(as_of))
         .withColumn("end_date", F.lit(None).cast("date"))
         .withColumn("is_current", F.lit(True))
     )
@@ -89,7 +91,7 @@ def scd2_apply(
     source: DataFrame,
     keys: Sequence[str],
     tracked: Sequence[str],
-    as_of: date,
+    as_of: date | None = None,
     null_safe: bool = True,
 ) -> DataFrame:
     """Close the current version of changed keys, open a new one for changed and new keys.
@@ -97,7 +99,7 @@ def scd2_apply(
     Closed versions pass through without a join. Keys that the feed does not name stay current.
     """
     keys, tracked = list(keys), list(tracked)
-    feed = unique_feed(source, keys)
+    feed = stored_feed(source, keys)
     current = history.filter("is_current")
     past = history.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
 
@@ -106,7 +108,7 @@ def scd2_apply(
     replaced = F.coalesce(F.col("_hit") & differs(tracked, null_safe), F.lit(False))
     closed = compared.select(
         *[c for c in history.columns if c not in ("end_date", "is_current")],
-        F.when(replaced, F.lit(as_of)).otherwise(F.col("end_date")).alias("end_date"),
+        F.when(replaced, _day(as_of)).otherwise(F.col("end_date")).alias("end_date"),
         (~replaced).alias("is_current"),
     )
     untouched = current.select(*keys, *tracked).join(news, keys).filter(~replaced).select(*keys)
@@ -114,6 +116,12 @@ def scd2_apply(
     return past.unionByName(closed).unionByName(opened.select(*history.columns))
 
 
+def upsert_table(name: str, source: DataFrame, keys: Sequence[str], path: str) -> DataFrame:
+    """``upsert`` into a table by name: the next snapshot goes to ``path``, then the table points there."""
+    writers.publish(upsert(source.sparkSession.table(name), source, keys), name, path)
+    return source.sparkSession.table(name)
+
+
 def scd2_history(history: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All versions of the keys that the feed names, in time order."""
     keys = list(keys)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -32,10 +34,28 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
-def schema_of(df: DataFrame) -> DataFrame:
-    """Position, name, type and nullability of each column."""
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields, 1)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, type string, nullable boolean")
+def info(df: DataFrame) -> DataFrame:
+    """Position, name, type, nullability and number of filled entries of each column."""
+    filled = df.agg(*[F.count(c).alias(f"_{i}") for i, c in enumerate(df.columns, 1)])
+    described = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.lit(f.nullable).alias("nullable"),
+            F.col(f"_{i}").alias("non_nulls"),
+        )
+        for i, f in enumerate(df.schema.fields, 1)
+    ]
+    return filled.select(F.inline(F.array(*described)))
+
+
+def plan_text(df: DataFrame) -> str:
+    """The physical plan as text; each ``Exchange`` in it is a shuffle."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
 
 
 def _unpivot(one_row: DataFrame, columns: Sequence[str], value: str) -> DataFrame:

@@ -26,6 +26,15 @@ def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
+def publish(df: DataFrame, name: str, path: str) -> None:
+    """Write the next snapshot of a table to a new path and point the table there.
+
+    The old files stay as they were, so ``df`` may read the table itself, and readers never see half a write.
+    """
+    df.write.mode("error").parquet(path)
+    df.sparkSession.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+
+
 def append_to_table(df: DataFrame, name: str) -> None:
     """Append by column name; refuses other columns than the table's."""
     table = df.sparkSession.table(name)
@@ -58,15 +67,23 @@ def copy_csv(spark: SparkSession, source: str, target: str, schema: str) -> Data
 
 
 def compare_formats(df: DataFrame, folder: str) -> DataFrame:
-    """The same rows as CSV and as Parquet: number of files and bytes of each."""
+    """The same rows as CSV and as Parquet: rows, files and bytes of each."""
     spark = df.sparkSession
     csv(df, f"{folder}/csv")
     parquet(df, f"{folder}/parquet")
-    sizes = [
-        readers.file_metadata(spark, f"{folder}/{kind}")
-        .filter(F.col("path").rlike(r"/part-[^/]*$"))
-        .agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
-        .select(F.lit(kind).alias("format"), "n_files", "n_bytes")
-        for kind in ("csv", "parquet")
-    ]
-    return sizes[0].unionByName(sizes[1])
+    copies = {
+        "csv": readers.csv(spark, f"{folder}/csv", df.schema.toDDL()),
+        "parquet": readers.parquet(spark, f"{folder}/parquet"),
+    }
+    result = None
+    for kind, copy in copies.items():
+        size = (
+            readers.file_metadata(spark, f"{folder}/{kind}")
+            .filter(F.col("path").rlike(r"/part-[^/]*$"))
+            .agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"))
+            .select(
+                F.lit(kind).alias("format"), copy.agg(F.count("*")).scalar().alias("n_rows"), "n_files", "n_bytes"
+            )
+        )
+        result = size if result is None else result.unionByName(size)
+    return result
