@@ -9,17 +9,19 @@ from __future__ import annotations
 import re
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.money import money
 from tallymart.plans.shop import Shop
 from tallymart.session import tune
 
-# nested and null-safe, so that a filter on the result becomes one on the column and reaches the scan
-STATUS = F.when(F.col("o_orderstatus").eqNullSafe("F"), "completed").otherwise(
-    F.when(F.col("o_orderstatus").eqNullSafe("O"), "pending").otherwise("cancelled")
-)
+
+def _status(code: Column) -> Column:
+    """Nested and null-safe, so that a filter on the result becomes one on the column and reaches the scan."""
+    return F.when(code.eqNullSafe("F"), "completed").otherwise(
+        F.when(code.eqNullSafe("O"), "pending").otherwise("cancelled")
+    )
 
 
 class Bound:
@@ -59,7 +61,7 @@ class Bound:
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
-            STATUS.alias("status"),
+            _status(F.col("o_orderstatus")).alias("status"),
             F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
             F.col("o_orderpriority").alias("priority"),
         )
