@@ -144,7 +144,7 @@ def ntile(df: DataFrame, n: int, order: Sequence[str], out: str) -> DataFrame:
     extra = F.col("_all_n") % n
     starts = [F.lit(k) * base + F.least(F.lit(k), extra) + 1 for k in range(1, n)]
     cuts = positions(df.select(*cols), order).filter(F.col("_rn").isin(*starts)).collect()  # at most n - 1 rows
-    bucket = F.lit(1)
+    bucket = F.lit(1).cast("long")
     for cut in cuts:
         bucket = bucket + F.when(_at_or_after(order, cut), 1).otherwise(0)
     return df.withColumn(out, bucket)
@@ -161,7 +161,7 @@ def row_number_by(
 
     There are at most (rows / large_group) such groups, so their keys stay a small table.
     """
-    numbered = F.row_number().over(Window.partitionBy(*by).orderBy(*sort_keys(order)))
+    numbered = F.row_number().over(Window.partitionBy(*by).orderBy(*sort_keys(order))).cast("long")
     large = materialise(
         df.groupBy(*by).agg(F.count("*").alias("_n")).filter(F.col("_n") >= large_group).drop("_n"), "large-groups"
     )
@@ -178,7 +178,7 @@ def row_number_by(
     for c in by:
         same = same & ranked[c].eqNullSafe(first[f"_key_{c}"])
     large_rows = ranked.join(first, same).select(
-        *[ranked[c] for c in df.columns], (F.col("_rn") - F.col("_first") + 1).cast("int").alias(out)
+        *[ranked[c] for c in df.columns], (F.col("_rn") - F.col("_first") + 1).alias(out)
     )
     return small_rows.unionByName(large_rows)
 
@@ -226,5 +226,5 @@ def bucket_of(position: Column, rows: Column, n: int) -> Column:
     return (
         F.when(position <= wide, F.ceil(position / (base + 1)))
         .otherwise(extra + F.ceil(F.try_divide(position - wide, base)))
-        .cast("int")
+        .cast("long")
     )

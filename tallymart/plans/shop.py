@@ -332,7 +332,7 @@ def rfm(shop: Shop, limit: int | None = None) -> DataFrame:
         customer_spend(shop).select(
             "customer_id",
             "name",
-            F.datediff(today, "last_order").alias("recency_days"),
+            F.datediff(today, "last_order").cast("long").alias("recency_days"),
             F.col("num_orders").alias("frequency"),
             m.to_double("spend").alias("monetary"),
         ),
