@@ -41,8 +41,8 @@ def win_ntile4(t):
 )
 def win_ntile5(t):
     rows = t.orders.select("order_id", "priority", "order_date")
-    rows = ranking.ntile(rows, 5, ["priority", "order_id"], "by_priority")
-    return ranking.ntile(rows, 5, ["-order_date", "order_id"], "by_recency").drop("priority", "order_date")
+    buckets = {"by_priority": (5, ["priority", "order_id"]), "by_recency": (5, ["-order_date", "order_id"])}
+    return ranking.ntiles(rows, buckets).drop("priority", "order_date")
 
 
 @query(

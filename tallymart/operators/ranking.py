@@ -11,12 +11,12 @@ An order is a list of column names; a leading ``-`` means descending.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tallymart.session import materialise
+from tallymart.session import materialise, together
 
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -134,20 +134,31 @@ def _at_or_after(order: Sequence[str], cut: Row) -> Column:
     return reached
 
 
-def ntile(df: DataFrame, n: int, order: Sequence[str], out: str) -> DataFrame:
-    """NTILE(n): only the n - 1 rows that open a bucket are looked up, ``df`` itself is not moved.
-
-    ``df`` is read twice; pass a stored frame where it is costly.
-    """
-    cols = [column_of(t) for t in order]
+def _bucket_starts(df: DataFrame, n: int, order: Sequence[str]) -> list[Row]:
+    """The first row of each NTILE(n) bucket but the first one: at most n - 1 rows."""
     base = F.floor(F.col("_all_n") / n)
     extra = F.col("_all_n") % n
     starts = [F.lit(k) * base + F.least(F.lit(k), extra) + 1 for k in range(1, n)]
-    cuts = positions(df.select(*cols), order).filter(F.col("_rn").isin(*starts)).collect()  # at most n - 1 rows
-    bucket = F.lit(1).cast("long")
-    for cut in cuts:
-        bucket = bucket + F.when(_at_or_after(order, cut), 1).otherwise(0)
-    return df.withColumn(out, bucket)
+    sorted_rows = positions(df.select(*[column_of(t) for t in order]), order)
+    return sorted_rows.filter(F.col("_rn").isin(*starts)).collect()
+
+
+def ntiles(df: DataFrame, buckets: Mapping[str, tuple[int, Sequence[str]]]) -> DataFrame:
+    """NTILE(n) columns ``{out: (n, order)}``: only the rows that open a bucket are looked up.
+
+    ``df`` itself is not moved, but read once more per column; pass a stored frame where it is costly.
+    """
+    lookups = [lambda n=n, order=order: _bucket_starts(df, n, order) for n, order in buckets.values()]
+    for (out, (_, order)), cuts in zip(buckets.items(), together(*lookups), strict=True):
+        bucket = F.lit(1).cast("long")
+        for cut in cuts:
+            bucket = bucket + F.when(_at_or_after(order, cut), 1).otherwise(0)
+        df = df.withColumn(out, bucket)
+    return df
+
+
+def ntile(df: DataFrame, n: int, order: Sequence[str], out: str) -> DataFrame:
+    return ntiles(df, {out: (n, order)})
 
 
 def row_number_by(

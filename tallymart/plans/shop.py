@@ -338,9 +338,14 @@ def rfm(shop: Shop, limit: int | None = None) -> DataFrame:
         ),
         "rfm",
     )
-    scored = ranking.ntile(scored, 5, ["-recency_days", "customer_id"], "r_score")
-    scored = ranking.ntile(scored, 5, ["frequency", "customer_id"], "f_score")
-    scored = ranking.ntile(scored, 5, ["monetary", "customer_id"], "m_score")
+    scored = ranking.ntiles(
+        scored,
+        {
+            "r_score": (5, ["-recency_days", "customer_id"]),
+            "f_score": (5, ["frequency", "customer_id"]),
+            "m_score": (5, ["monetary", "customer_id"]),
+        },
+    )
     scored = scored.withColumn("rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     scored = scored.withColumn("rfm_segment", rfm_segment(F.col("rfm_total")))
     return _limited(scored.orderBy(F.desc("rfm_total"), "customer_id"), limit)

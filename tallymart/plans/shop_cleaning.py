@@ -18,7 +18,7 @@ from tallymart.functions.dates import tolerant_date, tolerant_number
 from tallymart.functions.money import MONEY
 from tallymart.functions.text import missing_to_null, strip_space, text_key
 from tallymart.operators import clean, profile
-from tallymart.session import materialise
+from tallymart.session import materialise, together
 
 LAST_DAY = date(2025, 12, 31)  # fixed value: orders after this day are entry errors
 
@@ -87,8 +87,10 @@ def clean_shop(
 
     ``arrival`` maps each table name to its arrival order.
     """
-    customers = materialise(clean_customers(raw.customers, arrival["customers"]), "customers")
-    products = materialise(clean_products(raw.products, arrival["products"]), "products")
+    customers, products = together(
+        lambda: materialise(clean_customers(raw.customers, arrival["customers"]), "customers"),
+        lambda: materialise(clean_products(raw.products, arrival["products"]), "products"),
+    )
     orders = materialise(clean_orders(raw.orders, customers, arrival["orders"], last_day), "orders")
     items = materialise(clean_items(raw.items, orders, products, item_keys, arrival["items"]), "items")
     sold = materialise(clean.keep_parents_with_children(orders, items, "order_id"), "orders")

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Joins against a key that holds a large share of the rows are split at run time,
 # also where the split costs one more shuffle.
 SKEW_SETTINGS = {
@@ -56,3 +61,9 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """Results of independent Spark jobs, submitted at the same time so that they share the cluster."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
