@@ -111,6 +111,17 @@ def scd2_history(t):
     return _plain(merge.scd2_history(_history(t), t.order_feed, ["order_id"]))
 
 
+@query(
+    "update_where",
+    """SELECT product_id, CASE WHEN category = 'PROMO' THEN stock_qty - 1 ELSE stock_qty END AS stock_qty,
+              CASE WHEN category = 'PROMO' THEN 'sold' ELSE brand END AS brand FROM shop_products""",
+)
+def update_where(t):
+    changed = {"stock_qty": F.col("stock_qty") - 1, "brand": F.lit("sold")}
+    products = t.products.select("product_id", "category", "stock_qty", "brand")
+    return merge.update_where(products, F.col("category") == "PROMO", changed).drop("category")
+
+
 @query(
     "stock_update",
     """SELECT p.product_id, p.stock_qty - coalesce(s.taken, 0)::INT AS stock_qty FROM shop_products p LEFT JOIN (

@@ -30,6 +30,5 @@ def tolerant_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Colu
 
 
 def tolerant_number(text: Column) -> Column:
-    """Double, NULL where the text is no number."""
-    number = text.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Double, NULL where the text is no number (or says NaN)."""
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))

@@ -54,12 +54,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def keep_positive(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with values above zero in all given columns; a NULL drops too."""
     for c in columns:
         df = df.filter(F.col(c) > 0)
     return df
 
 
 def keep_until(df: DataFrame, column: str, last_day: date) -> DataFrame:
+    """Rows up to ``last_day``; a NULL date drops too."""
     return df.filter(F.col(column) <= F.lit(last_day))
 
 

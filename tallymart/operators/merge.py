@@ -7,7 +7,7 @@ path. The feed is the small side: Spark broadcasts it where its size is below
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 from typing import NamedTuple
 
@@ -35,13 +35,18 @@ def stored_feed(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return feed
 
 
+def _typed_like(source: DataFrame, target: DataFrame) -> DataFrame:
+    """The target's columns out of ``source``, with the target's types."""
+    return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+
+
 def upsert(
     target: DataFrame, source: DataFrame, keys: Sequence[str], update_columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Matched keys take the source's values (its NULLs too), new keys are added, nothing is deleted."""
     keys = list(keys)
     update = [c for c in target.columns if c not in keys] if update_columns is None else list(update_columns)
-    feed = stored_feed(source.select(*target.columns), keys)
+    feed = stored_feed(_typed_like(source, target), keys)
     news = feed.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in update], F.lit(True).alias("_hit"))
     updated = target.join(news, keys, "left").select(
         *[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
@@ -99,7 +104,7 @@ def scd2_apply(
     Closed versions pass through without a join. Keys that the feed does not name stay current.
     """
     keys, tracked = list(keys), list(tracked)
-    feed = stored_feed(source, keys)
+    feed = stored_feed(_typed_like(source, history.drop("effective_date", "end_date", "is_current")), keys)
     current = history.filter("is_current")
     past = history.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
 
@@ -128,6 +133,18 @@ def scd2_history(history: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return history.join(source.select(*keys), keys, "left_semi").orderBy(*keys, "effective_date")
 
 
+def update_where(df: DataFrame, condition: Column, values: Mapping[str, Column]) -> DataFrame:
+    """Set columns where ``condition`` holds; the other rows, also those where it is unknown, stay."""
+    return df.select(
+        *[
+            F.when(condition, values[f.name].cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+            if f.name in values
+            else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )
+
+
 def reduce_stock(products: DataFrame, sold: DataFrame) -> DataFrame:
     """Subtract the sold quantity per product from ``stock_qty``."""
     taken = sold.groupBy("product_id").agg(F.sum("quantity").alias("_taken"))

@@ -37,7 +37,7 @@ def clean_customers(df: DataFrame, order: Sequence[str]) -> DataFrame:
 def clean_products(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Copies without a positive price do not count as the first one."""
     df = df.withColumn("price", tolerant_number(F.col("price")))
-    df = clean.keep_positive(clean.drop_null(df, ["price"]), ["price"])
+    df = clean.keep_positive(df, ["price"])
     df = clean.fill_constants(df, {"category": schemas.DEFAULT_CATEGORY})
     return clean.keep_first(df, ["product_id"], order)
 
@@ -47,7 +47,7 @@ def clean_orders(
 ) -> DataFrame:
     df = clean.keep_first(df, ["order_id"], order)
     df = df.withColumn("order_date", tolerant_date(F.col("order_date")))
-    df = clean.keep_until(clean.drop_null(df, ["order_date"]), "order_date", last_day)
+    df = clean.keep_until(df, "order_date", last_day)
     df = clean.keep_allowed(df, "status", schemas.ORDER_STATUSES)
     return clean.keep_known(df, customers, "customer_id")
 
@@ -57,7 +57,7 @@ def clean_items(
 ) -> DataFrame:
     df = df.withColumn("quantity", tolerant_number(F.col("quantity")))
     df = df.withColumn("unit_price", tolerant_number(F.col("unit_price")))
-    df = clean.keep_positive(clean.drop_null(df, ["quantity", "unit_price"]), ["quantity", "unit_price"])
+    df = clean.keep_positive(df, ["quantity", "unit_price"])
     df = clean.keep_known(df, orders, "order_id")
     df = clean.keep_known(df, products, "product_id")
     df = clean.keep_first(df, keys, order)

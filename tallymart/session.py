@@ -20,7 +20,7 @@ SKEW_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_fallback_dirs: dict[str, str] = {}
+_fallback_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -33,17 +33,18 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
-    A temporary folder stands in only where the setting is missing and the master is local.
+    A temporary folder, gone with the process, stands in only where the setting is missing and
+    the master is local.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _fallback_dirs:
-        _fallback_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tallymart-")
-    return _fallback_dirs[context.applicationId]
+        _fallback_dirs[context.applicationId] = tempfile.TemporaryDirectory(prefix="tallymart-")
+    return _fallback_dirs[context.applicationId].name
 
 
 def new_path(spark: SparkSession, label: str) -> str:

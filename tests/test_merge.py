@@ -47,6 +47,19 @@ def test_repeated_or_missing_feed_keys_are_refused(spark, target, bad):
         merge.scd2_apply(merge.scd2_init(target, DAY1), table(spark, bad), ["id"], ["qty"], DAY2)
 
 
+def test_a_feed_takes_the_types_of_the_target(spark, target):
+    wide = table(spark, [(1, "z", 5)], "id bigint, mode string, qty bigint")
+    assert merge.upsert(target, wide, ["id"]).dtypes == target.dtypes
+    history = merge.scd2_init(target, DAY1)
+    assert merge.scd2_apply(history, wide, ["id"], ["qty"], DAY2).dtypes == history.dtypes
+
+
+def test_update_where(target):
+    updated = merge.update_where(target, F.col("mode") == "a", {"qty": F.col("qty") + 10})
+    assert rows(updated) == [(1, "a", 11), (2, "b", 2), (3, None, 3)]
+    assert updated.dtypes == target.dtypes
+
+
 def test_merge_metrics(target, feed):
     assert tuple(merge.merge_metrics(target, feed, ["id"], DAY1).first()) == (1, 1, 2, DAY1)
 
