@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tallymart.session import materialise, together
 
+HEAD_ROWS = 10_000  # up to so many rows a window may run in one task
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -101,7 +102,12 @@ def rank(
 
 
 def top_ranked(df: DataFrame, k: int, order: Sequence[str], out: str = "rank") -> DataFrame:
-    """Rows with RANK <= k, ties kept. At most k distinct values can have such a rank."""
+    """Rows with RANK <= k, ties kept. At most k distinct values can have such a rank.
+
+    For k up to ``HEAD_ROWS`` only those values are ranked; ``df`` is read twice.
+    """
+    if k > HEAD_ROWS:
+        return rank(df, order, out).filter(F.col(out) <= k)
     cols = [column_of(t) for t in order]
     earlier = Window.orderBy(*sort_keys(order)).rowsBetween(Window.unboundedPreceding, -1)
     leaders = (

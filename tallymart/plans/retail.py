@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import money as m
+from tallymart.functions.text import is_blank
 from tallymart.operators import clean
 
 # What stands in for a missing entry.
@@ -87,3 +88,18 @@ def store_revenue(df: DataFrame) -> DataFrame:
         )
         .orderBy(F.desc("total_revenue"), "store_id")
     )
+
+
+def pipeline_counts(df: DataFrame) -> DataFrame:
+    """Raw rows, rows without copies, reachable rows and their stores, counted in one pass."""
+    reachable = F.col("email").isNotNull() & ~is_blank(F.col("username"))
+    return (
+        df.groupBy(*df.columns)
+        .agg(F.count("*").alias("_copies"))
+        .agg(
+            F.sum("_copies").alias("raw_rows"),
+            F.count("*").alias("distinct_rows"),
+            F.count_if(reachable).alias("clean_rows"),
+            F.count_distinct(F.when(reachable, F.col("store_id"))).alias("stores"),
+        )
+    )

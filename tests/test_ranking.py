@@ -66,6 +66,12 @@ def test_top_ranked_keeps_ties(spark):
     assert rows(ranking.top_ranked(df, 4, ["-v"])) == [(1, 9, 1), (2, 9, 1), (3, 8, 3), (4, 7, 4), (5, 7, 4)]
 
 
+def test_top_ranked_beyond_the_head(skewed, monkeypatch):
+    few = rows(ranking.top_ranked(skewed, 40, ["-v"]))
+    monkeypatch.setattr(ranking, "HEAD_ROWS", 10)
+    assert rows(ranking.top_ranked(skewed, 40, ["-v"])) == few
+
+
 @pytest.mark.parametrize("large_group", [1, 900, 10_000])
 def test_row_number_within_groups_whatever_counts_as_large(skewed, large_group):
     by_value = Window.partitionBy("v").orderBy(F.desc("g"), "id")

@@ -55,6 +55,13 @@ def test_a_limit_is_the_head_of_the_whole_report(bound, report):
     assert limited == whole[:7]
 
 
+def test_a_limit_beyond_the_head_is_ranked_across_tasks(bound, monkeypatch):
+    reports = (shop.top_customers, shop.customer_ltv)
+    small = [[tuple(r) for r in report(bound.shop, limit=30).collect()] for report in reports]
+    monkeypatch.setattr(shop.ranking, "HEAD_ROWS", 5)
+    assert [[tuple(r) for r in report(bound.shop, limit=30).collect()] for report in reports] == small
+
+
 def test_order_history_peers_share_the_running_spend(spark):
     orders = spark.sql(
         "select * from values (1, 1, date '2024-01-01', 'completed'), (2, 1, date '2024-01-01', 'completed'), "

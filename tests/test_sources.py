@@ -94,3 +94,10 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     stored = materialise(spark.range(3).toDF("n"))
     assert stored.inputFiles()[0].startswith("file://" + shared_dir(spark))
     assert isinstance(spark, SparkSession)
+
+
+def test_an_empty_report_is_saved_with_its_columns(spark, quoted):
+    path = new_path(spark, "empty")
+    writers.csv(quoted.filter("id > 100"), path, single_file=True)
+    read = readers.csv(spark, path)
+    assert read.columns == ["id", "label"] and read.isEmpty()
