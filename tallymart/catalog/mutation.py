@@ -137,7 +137,8 @@ def _placement(t):
     new = t.orders.filter(F.col("status") == "pending")
     lines = t.items.select("order_id", "product_id", "quantity")
     new_lines = lines.join(new.select("order_id"), "order_id", "left_semi")
-    return merge.place_orders(t.customers, t.products, old, lines.limit(0), new, new_lines)
+    old_lines = lines.join(new.select("order_id"), "order_id", "left_anti")
+    return merge.place_orders(t.customers, t.products, old, old_lines, new, new_lines)
 
 
 _SOLD = """SELECT product_id, sum(quantity) AS taken FROM shop_items
@@ -146,13 +147,18 @@ _SOLD = """SELECT product_id, sum(quantity) AS taken FROM shop_items
 
 @query(
     "apply_orders",
-    f"""SELECT p.product_id, p.stock_qty - coalesce(s.taken, 0)::INT AS stock_qty, (SELECT count(*) FROM shop_orders) AS n_orders
+    f"""SELECT p.product_id, p.stock_qty - coalesce(s.taken, 0)::INT AS stock_qty,
+               (SELECT count(*) FROM shop_orders) AS n_orders, (SELECT count(*) FROM shop_items) AS n_items
         FROM shop_products p LEFT JOIN ({_SOLD}) s ON p.product_id = s.product_id""",
 )
 def apply_orders(t):
     placed = _placement(t)
-    count = placed.orders.agg(F.count("*")).scalar()
-    return placed.products.select("product_id", "stock_qty").withColumn("n_orders", count)
+    return placed.products.select(
+        "product_id",
+        "stock_qty",
+        placed.orders.agg(F.count("*")).scalar().alias("n_orders"),
+        placed.items.agg(F.count("*")).scalar().alias("n_items"),
+    )
 
 
 @query(

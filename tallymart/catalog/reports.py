@@ -8,7 +8,7 @@ from tallymart.catalog.registry import query
 from tallymart.catalog.tables import sql_mean, sql_percent
 from tallymart.functions import money
 from tallymart.operators import joins
-from tallymart.plans import customer_sales, deals, order_book, retail, shop, superstore
+from tallymart.plans import customer_sales, deals, flat_sales, order_book, retail, shop
 from tallymart.session import new_path
 
 # ---- shop reports ----------------------------------------------------------------------
@@ -113,38 +113,39 @@ def growth_rate(t):
     return shop.growth_rate(t.shop)
 
 
-@query(
-    "rep_customer_order_history",
-    """SELECT c.customer_id, c.name, v.order_id, v.order_date, CAST(v.value AS DOUBLE) AS order_value,
+_SPENDING = """SELECT c.customer_id, c.name, v.order_id, v.order_date, CAST(v.value AS DOUBLE) AS order_value,
         CAST(sum(v.value) OVER (PARTITION BY c.customer_id ORDER BY v.order_date) AS DOUBLE) AS running_customer_spend
-        FROM order_values v JOIN shop_customers c ON v.customer_id = c.customer_id
-        ORDER BY customer_id, order_date, order_id LIMIT 50""",
-)
+        FROM order_values v JOIN shop_customers c ON v.customer_id = c.customer_id"""
+
+
+@query("rep_customer_order_history", f"{_SPENDING} ORDER BY customer_id, order_date, order_id LIMIT 50")
 def customer_order_history(t):
     return shop.customer_order_history(t.shop)
 
 
-_FIRST = """first_purchase AS (SELECT c.customer_id, min(strftime(o.order_date, '%Y-%m')) AS cohort_month
-        FROM shop_customers c JOIN shop_orders o ON c.customer_id = o.customer_id WHERE o.status = 'completed' GROUP BY 1),
-    sizes AS (SELECT cohort_month, count(*) AS cohort_size FROM first_purchase GROUP BY 1)"""
+@query("rep_customer_order_history_all", _SPENDING)
+def customer_order_history_all(t):
+    return shop.customer_order_history(t.shop, limit=None)
+
+
+_BUYERS = """buyers AS (SELECT customer_id, date_trunc('month', min(order_date)) AS started FROM shop_orders
+        WHERE status = 'completed' AND customer_id IN (SELECT customer_id FROM shop_customers) GROUP BY customer_id),
+    cohorts AS (SELECT started, count(*) AS cohort_size FROM buyers GROUP BY started)"""
 
 
-@query("rep_cohort_sizes", f"WITH {_FIRST} SELECT cohort_month, cohort_size FROM sizes")
+@query("rep_cohort_sizes", f"WITH {_BUYERS} SELECT strftime(started, '%Y-%m') AS cohort_month, cohort_size FROM cohorts")
 def cohort_sizes(t):
     return shop.cohort_sizes(t.shop)
 
 
 @query(
     "rep_cohort_retention",
-    f"""WITH {_FIRST}, activity AS (SELECT DISTINCT customer_id, strftime(order_date, '%Y-%m') AS activity_month
-            FROM shop_orders WHERE status = 'completed'),
-        placed AS (SELECT f.cohort_month, f.customer_id,
-            (CAST(activity_month[1:4] AS INT) * 12 + CAST(activity_month[6:7] AS INT))
-            - (CAST(cohort_month[1:4] AS INT) * 12 + CAST(cohort_month[6:7] AS INT)) AS month_index
-            FROM first_purchase f JOIN activity a ON f.customer_id = a.customer_id)
-        SELECT p.cohort_month, month_index, count(DISTINCT customer_id) AS active_customers, cohort_size,
+    f"""WITH {_BUYERS} SELECT strftime(started, '%Y-%m') AS cohort_month,
+            date_diff('month', started, date_trunc('month', order_date)) AS month_index,
+            count(DISTINCT customer_id) AS active_customers, cohort_size,
             {sql_percent('count(DISTINCT customer_id)', 'cohort_size')} AS retention_pct
-        FROM placed p JOIN sizes s ON p.cohort_month = s.cohort_month GROUP BY p.cohort_month, month_index, cohort_size""",
+        FROM shop_orders JOIN buyers USING (customer_id) JOIN cohorts USING (started)
+        WHERE status = 'completed' GROUP BY started, month_index, cohort_size""",
 )
 def cohort_retention(t):
     return shop.cohort_retention(t.shop)
@@ -181,15 +182,15 @@ def spend_tiers(t):
     return shop.spend_tiers(t.shop, low=500000, high=900000)
 
 
-_RFM = """WITH raw_scores AS (SELECT customer_id, name, date_diff('day', last_order, day) AS recency_days,
+_RFM = """WITH facts AS (SELECT customer_id, name, date_diff('day', last_order, day) AS recency_days,
             num_orders AS frequency, CAST(spend AS DOUBLE) AS monetary FROM spend CROSS JOIN today),
-        scored AS (SELECT *, ntile(5) OVER (ORDER BY recency_days DESC, customer_id) AS r_score,
+        fifths AS (SELECT *, ntile(5) OVER (ORDER BY recency_days DESC, customer_id) AS r_score,
             ntile(5) OVER (ORDER BY frequency, customer_id) AS f_score,
-            ntile(5) OVER (ORDER BY monetary, customer_id) AS m_score FROM raw_scores)
-        SELECT *, r_score + f_score + m_score AS rfm_total,
-            CASE WHEN r_score + f_score + m_score >= 13 THEN 'Champions' WHEN r_score + f_score + m_score >= 10 THEN 'Loyal Customers'
-                 WHEN r_score + f_score + m_score >= 7 THEN 'Potential Loyalists' WHEN r_score + f_score + m_score >= 4 THEN 'At Risk'
-                 ELSE 'Lost' END AS rfm_segment FROM scored"""
+            ntile(5) OVER (ORDER BY monetary, customer_id) AS m_score FROM facts),
+        totals AS (SELECT *, r_score + f_score + m_score AS rfm_total FROM fifths)
+        SELECT t.*, label AS rfm_segment FROM totals t JOIN (VALUES (13, 99, 'Champions'), (10, 13, 'Loyal Customers'),
+            (7, 10, 'Potential Loyalists'), (4, 7, 'At Risk'), (0, 4, 'Lost')) s(low, high, label)
+        ON rfm_total >= low AND rfm_total < high"""
 
 
 @query("rep_rfm", _RFM)
@@ -214,37 +215,37 @@ def _total(key: str, measure: str, tail: str = "") -> str:
 
 @query("rep_sales_by_region", _total("region", "sales"))
 def sales_by_region(t):
-    return superstore.total_by(t.sales("geo"), "region", "sales")
+    return flat_sales.total_by(t.sales("geo"), "region", "sales")
 
 
 @query("rep_sales_by_category", _total("category", "sales"))
 def sales_by_category(t):
-    return superstore.total_by(t.sales("product"), "category", "sales")
+    return flat_sales.total_by(t.sales("product"), "category", "sales")
 
 
 @query("rep_top_customer_names", _total("customer_name", "sales", "ORDER BY total_sales DESC, customer_name LIMIT 10"))
 def top_customer_names(t):
-    return superstore.top_by(t.sales("customer"), "customer_name", "sales")
+    return flat_sales.top_by(t.sales("customer"), "customer_name", "sales")
 
 
 @query("rep_top_product_names", _total("product_name", "sales", "ORDER BY total_sales DESC, product_name LIMIT 10"))
 def top_product_names(t):
-    return superstore.top_by(t.sales("product"), "product_name", "sales")
+    return flat_sales.top_by(t.sales("product"), "product_name", "sales")
 
 
 @query("rep_profit_by_region", _total("region", "profit"))
 def profit_by_region(t):
-    return superstore.total_by(t.sales("geo"), "region", "profit")
+    return flat_sales.total_by(t.sales("geo"), "region", "profit")
 
 
 @query("rep_profit_by_category", _total("category", "profit"))
 def profit_by_category(t):
-    return superstore.total_by(t.sales("product"), "category", "profit")
+    return flat_sales.total_by(t.sales("product"), "category", "profit")
 
 
 @query("rep_largest_losses", _total("product_name", "profit", "ORDER BY total_profit, product_name LIMIT 5"))
 def largest_losses(t):
-    return superstore.bottom_by(t.sales("product"), "product_name", "profit")
+    return flat_sales.bottom_by(t.sales("product"), "product_name", "profit")
 
 
 _LINE = "order_id, line_no, product_id, CAST(sales AS DOUBLE) AS sales"
@@ -256,17 +257,17 @@ def _line(df, *more):
 
 @query("rep_region_rows", f"SELECT {_LINE}, region FROM sales WHERE region = 'ASIA'")
 def region_rows(t):
-    return _line(superstore.in_region(t.sales("geo"), "ASIA"), "region")
+    return _line(flat_sales.in_region(t.sales("geo"), "ASIA"), "region")
 
 
 @query("rep_category_rows", f"SELECT {_LINE}, category FROM sales WHERE category = 'PROMO'")
 def category_rows(t):
-    return _line(superstore.in_category(t.sales("product"), "PROMO"), "category")
+    return _line(flat_sales.in_category(t.sales("product"), "PROMO"), "category")
 
 
 @query("rep_large_sales_rows", f"SELECT {_LINE} FROM sales WHERE sales > 90000")
 def large_sales_rows(t):
-    return _line(superstore.sales_above(t.sales(), 90000))
+    return _line(flat_sales.sales_above(t.sales(), 90000))
 
 
 @query(
@@ -275,12 +276,12 @@ def large_sales_rows(t):
         CAST(sum(sales) AS DOUBLE) AS total_sales FROM sales GROUP BY 1, 2""",
 )
 def monthly_trend(t):
-    return superstore.monthly_trend(t.sales("order"))
+    return flat_sales.monthly_trend(t.sales("order"))
 
 
 @query("rep_repeated_orders", "SELECT order_id, count(*) AS duplicate_count FROM sales GROUP BY order_id HAVING count(*) > 1")
 def repeated_orders(t):
-    return superstore.repeated_orders(t.sales())
+    return flat_sales.repeated_orders(t.sales())
 
 
 # ---- customer questions ----------------------------------------------------------------

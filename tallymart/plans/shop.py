@@ -258,7 +258,7 @@ def cohort_retention(shop: Shop) -> DataFrame:
 
     All customers of a cohort are active in month 0, so its count is the cohort's size.
     """
-    index = month_number(F.col("_month")) - month_number(F.col("_first"))
+    index = (month_number(F.col("_month")) - month_number(F.col("_first"))).cast("long")
     active = (
         _active_months(shop)
         .groupBy(month_label(F.col("_first")).alias("cohort_month"), index.alias("month_index"))

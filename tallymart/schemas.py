@@ -35,7 +35,7 @@ LOAD_COLUMNS = {
     "order_items": ["order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total"],
 }
 
-SUPERSTORE = (
+FLAT_SALES = (
     "row_id int, order_id string, order_date string, ship_date string, ship_mode string, customer_id string, "
     "customer_name string, segment string, country string, city string, state string, postal_code int, "
     "region string, product_id string, category string, sub_category string, product_name string, "
