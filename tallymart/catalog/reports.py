@@ -409,7 +409,9 @@ def shop_month_orders(t):
 
 @query("rep_shop_year_orders", "SELECT order_id FROM shop_orders WHERE year(order_date) = 1998")
 def shop_year_orders(t):
-    return t.orders.filter(F.year("order_date") == 1998).select("order_id")
+    day = F.col("order_date")
+    in_year = (day >= F.lit("1998-01-01").cast("date")) & (day < F.lit("1999-01-01").cast("date"))
+    return t.orders.filter(in_year).select("order_id")
 
 
 @query("rep_shop_order_count", "SELECT count(*) AS total_orders FROM shop_orders")

@@ -391,8 +391,8 @@ def list_reports() -> list[tuple[str, str, bool]]:
     return [(name, r.description, r.takes_limit) for name, r in REPORTS.items()]
 
 
-def run_report(name: str, shop: Shop, limit: int | None = None) -> DataFrame:
-    """A report by name. ``limit`` has to be positive; reports without a limit ignore it."""
+def run_report(name: str, shop: Shop, limit: int | None = 10) -> DataFrame:
+    """A report by name. ``limit`` has to be positive (None: all rows); reports without a limit ignore it."""
     if name not in REPORTS:
         raise ValueError(f"unknown report {name!r}; known: {', '.join(REPORTS)}")
     if limit is not None and limit <= 0:

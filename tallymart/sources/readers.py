@@ -9,12 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 CORRUPT = "_corrupt_record"
 
 
-def csv(spark: SparkSession, path: str, schema: str | None = None, keep_corrupt: bool = False) -> DataFrame:
+def csv(
+    spark: SparkSession,
+    path: str,
+    schema: str | None = None,
+    keep_corrupt: bool = False,
+    line_breaks: bool = False,
+) -> DataFrame:
     """CSV with header and doubled quotes. Without a schema Spark reads the files once more to infer one.
 
     With ``keep_corrupt`` the text of a row that does not fit goes to ``_corrupt_record``.
+    ``line_breaks`` allows line breaks inside quotes; a file is then no longer split between tasks.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     if keep_corrupt:

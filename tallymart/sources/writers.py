@@ -11,9 +11,13 @@ from tallymart.sources import readers
 
 
 def csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Overwrite a CSV folder. ``single_file`` is for report-sized results only."""
+    """Overwrite a CSV folder. ``single_file`` is for report-sized results only.
+
+    Blanks around a text are kept; an empty text reads back as NULL, as files do not tell them apart.
+    """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = out.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def parquet(df: DataFrame, path: str) -> None:

@@ -93,6 +93,8 @@ def test_registry(bound):
         with pytest.raises(ValueError, match="positive"):
             shop.run_report("order_status", bound.shop, limit)
     assert shop.run_report("top_products", bound.shop, 3).count() == 3
+    assert shop.run_report("revenue_by_customer", bound.shop).count() == 10
+    assert shop.run_report("revenue_by_customer", bound.shop, None).count() > 100
     assert shop.run_report("order_status", bound.shop, 1).count() == 3  # takes no limit
 
 

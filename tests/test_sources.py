@@ -21,6 +21,14 @@ def test_quotes_and_commas_survive_csv(spark, quoted):
     assert readers.csv(spark, path).dtypes == [("id", "int"), ("label", "string")]
 
 
+def test_line_breaks_and_blanks_survive_csv(spark):
+    texts = spark.createDataFrame([(1, "two\nlines"), (2, ""), (3, None), (4, " blank ")], "id int, label string")
+    path = new_path(spark, "csv")
+    writers.csv(texts, path)
+    read = rows(readers.csv(spark, path, "id int, label string", line_breaks=True))
+    assert read == [(1, "two\nlines"), (2, None), (3, None), (4, " blank ")]
+
+
 def test_doubled_quotes_in_a_feed_file(spark, tmp_path):
     file = tmp_path / "feed.csv"
     file.write_text('Row ID,Product Name,Sales\n1,"Binders, 11"" x 14-7/8""",13.0032\n2,Pens,2.5\n')
