@@ -52,7 +52,7 @@ def upsert(
         *[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
           for c in target.columns]
     )
-    known = target.select(*keys).join(feed.select(*keys), keys, "left_semi")  # no more rows than the feed
+    known = target.select(*keys).join(feed.select(*keys), keys, "left_semi").distinct()  # at most the feed's keys
     return updated.unionByName(feed.join(known, keys, "left_anti"))
 
 
@@ -116,7 +116,7 @@ def scd2_apply(
         F.when(replaced, _day(as_of)).otherwise(F.col("end_date")).alias("end_date"),
         (~replaced).alias("is_current"),
     )
-    untouched = current.select(*keys, *tracked).join(news, keys).filter(~replaced).select(*keys)
+    untouched = current.select(*keys, *tracked).join(news, keys).filter(~replaced).select(*keys).distinct()
     opened = scd2_init(feed.join(untouched, keys, "left_anti"), as_of)
     return past.unionByName(closed).unionByName(opened.select(*history.columns))
 

@@ -24,6 +24,7 @@ class Shop(NamedTuple):
     products: DataFrame  # product_id, product_name, category
     orders: DataFrame  # order_id, customer_id, order_date, status
     items: DataFrame  # order_id, product_id, quantity, line_total
+    values: DataFrame | None = None  # stored order values, see with_order_values
 
 
 def _limited(df: DataFrame, limit: int | None) -> DataFrame:
@@ -36,10 +37,18 @@ def completed_orders(shop: Shop) -> DataFrame:
 
 def order_values(shop: Shop) -> DataFrame:
     """One row per completed order with items: order_id, customer_id, order_date, value."""
+    if shop.values is not None:
+        return shop.values
     values = shop.items.groupBy("order_id").agg(F.sum("line_total").alias("value"))
     return completed_orders(shop).select("order_id", "customer_id", "order_date").join(values, "order_id")
 
 
+def with_order_values(shop: Shop) -> Shop:
+    """``shop`` with its order values stored: most reports start from them, so a run of several
+    reports sums the items and joins them to the orders once."""
+    return shop._replace(values=materialise(order_values(shop), "order-values"))
+
+
 def customer_spend(shop: Shop) -> DataFrame:
     """Per customer: exact spend, number of orders, last order date."""
     spend = (
