@@ -70,7 +70,8 @@ def test_small_feed_does_not_shuffle_the_target(spark):
     target.write.parquet(stored)
     merged = merge.upsert(spark.read.parquet(stored), table(spark, [(5, "x", 2), (-1, "n", 1)]), ["id"])
     plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning" not in plan
+    assert "LeftOuter, BuildRight" in plan and "LeftSemi, BuildRight" in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # of the matched keys, no more than the feed has
     assert merged.count() == 100_001
 
 
