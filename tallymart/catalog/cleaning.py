@@ -197,11 +197,11 @@ def clean_shop_orders(t):
 
 
 @query(
-    "clean_retail_pipeline",
+    "clean_retail_rows",
     """SELECT city, count(*) AS n, CAST(sum(coalesce(revenue, 0)) AS DOUBLE) AS revenue FROM (SELECT DISTINCT * FROM retail_with_copies)
        WHERE email IS NOT NULL AND trim(username, ' ') <> '' GROUP BY city""",
 )
-def clean_retail_pipeline(t):
+def clean_retail_rows(t):
     rows = retail.handled(clean.drop_duplicate_rows(t.retail_with_copies))
     return rows.groupBy("city").agg(F.count("*").alias("n"), F.sum("revenue").cast("double").alias("revenue"))
 
@@ -214,7 +214,7 @@ def clean_retail_pipeline(t):
 def clean_dirty_rows_removed(t):
     """Copies and rows without a name are added; cleaning removes the copies and fills the names."""
     original = t.customers.select("customer_id", "name", "segment")
-    no_names = original.withColumn("customer_id", F.col("customer_id") + 10000000).withColumn(
+    no_names = original.withColumn("customer_id", -1 - F.col("customer_id")).withColumn(
         "name", F.lit(None).cast("string")
     )
     dirty = original.unionByName(original).unionByName(no_names)

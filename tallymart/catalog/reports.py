@@ -622,14 +622,14 @@ def retail_store_revenue(t):
 
 
 @query(
-    "rep_retail_pipeline_counts",
+    "rep_retail_step_counts",
     """WITH once AS (SELECT DISTINCT * FROM retail_with_copies),
             reached AS (SELECT * FROM once WHERE email IS NOT NULL AND trim(username, ' ') <> '')
        SELECT (SELECT count(*) FROM retail_with_copies) AS raw_rows, (SELECT count(*) FROM once) AS distinct_rows,
               (SELECT count(*) FROM reached) AS clean_rows, (SELECT count(DISTINCT store_id) FROM reached) AS stores""",
 )
-def retail_pipeline_counts(t):
-    return retail.pipeline_counts(t.retail_with_copies)
+def retail_step_counts(t):
+    return retail.step_counts(t.retail_with_copies)
 
 
 # ---- order book ------------------------------------------------------------------------

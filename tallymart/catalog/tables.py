@@ -261,7 +261,7 @@ class Bound:
         price = F.col("total_amount")
         rows = self.orders.select(
             "order_id",
-            F.when(price < 20000, F.col("customer_id") + 10000000).otherwise(F.col("customer_id")).alias("customer_id"),
+            F.when(price < 20000, -1 - F.col("customer_id")).otherwise(F.col("customer_id")).alias("customer_id"),
             F.when(price.between(20000, 30000), "2099-13-45")
             .when(price.between(30000, 40000), "2030-01-01")
             .otherwise(F.col("order_date").cast("string"))
@@ -289,7 +289,7 @@ class Bound:
             "store_id",
             "ship_date",
         )
-        orphans = rows.filter(F.col("line_no") == 7).withColumn("order_id", F.col("order_id") + 10000000)
+        orphans = rows.filter(F.col("line_no") == 7).withColumn("order_id", -1 - F.col("order_id"))
         return rows.unionByName(orphans)
 
     # ---- feeds ----
@@ -307,7 +307,7 @@ class Bound:
             .withColumn("status", F.when(F.col("status") != "pending", F.lit("returned")))
         )
         same = self.orders.filter(F.col("priority") == "2-HIGH")
-        new = self.orders.filter(F.col("priority") == "5-LOW").withColumn("order_id", F.col("order_id") + 10000000)
+        new = self.orders.filter(F.col("priority") == "5-LOW").withColumn("order_id", -1 - F.col("order_id"))
         return changed.unionByName(same).unionByName(new)
 
 
@@ -402,7 +402,7 @@ VIEWS = {
         SELECT * FROM first_products
         UNION ALL SELECT * REPLACE ('1.25' AS price, 2 AS arrival) FROM first_products WHERE active = 0""",
     "first_orders": """
-        SELECT order_id, CASE WHEN total_amount < 20000 THEN customer_id + 10000000 ELSE customer_id END AS customer_id,
+        SELECT order_id, CASE WHEN total_amount < 20000 THEN -1 - customer_id ELSE customer_id END AS customer_id,
                CASE WHEN total_amount BETWEEN 20000 AND 30000 THEN '2099-13-45'
                     WHEN total_amount BETWEEN 30000 AND 40000 THEN '2030-01-01'
                     ELSE CAST(order_date AS VARCHAR) END AS order_date,
@@ -420,13 +420,13 @@ VIEWS = {
         FROM shop_items""",
     "dirty_items": """
         SELECT * FROM first_items
-        UNION ALL SELECT * REPLACE (order_id + 10000000 AS order_id) FROM first_items WHERE line_no = 7""",
+        UNION ALL SELECT * REPLACE (-1 - order_id AS order_id) FROM first_items WHERE line_no = 7""",
     "order_feed": """
         SELECT * REPLACE (CAST(total_amount + 10 AS DECIMAL(12,2)) AS total_amount,
                           CASE WHEN status <> 'pending' THEN 'returned' END AS status)
         FROM shop_orders WHERE priority = '1-URGENT'
         UNION ALL SELECT * FROM shop_orders WHERE priority = '2-HIGH'
-        UNION ALL SELECT * REPLACE (order_id + 10000000 AS order_id) FROM shop_orders WHERE priority = '5-LOW'""",
+        UNION ALL SELECT * REPLACE (-1 - order_id AS order_id) FROM shop_orders WHERE priority = '5-LOW'""",
     # cleaned tables, by the rules of plans/shop_cleaning.py
     "ok_customers": r"""
         SELECT customer_id, trim(name) AS name, email, coalesce(country, 'Unknown') AS country, signup_date, segment,

@@ -90,7 +90,7 @@ def store_revenue(df: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_counts(df: DataFrame) -> DataFrame:
+def step_counts(df: DataFrame) -> DataFrame:
     """Raw rows, rows without copies, reachable rows and their stores, counted in one pass."""
     reachable = F.col("email").isNotNull() & ~is_blank(F.col("username"))
     return (

@@ -205,7 +205,7 @@ def test_info_and_shuffles(spark):
     assert "Exchange" in profile.plan_text(df.groupBy("a").count())
 
 
-def test_store_revenue_pipeline(spark):
+def test_store_revenue_from_raw_rows(spark):
     schema = "user_id int, status string, price decimal(10,2), sale_amount decimal(18,2), revenue decimal(18,2), email string, username string, raw_timestamp string, store_id string"
     data = [
         (1, None, None, None, None, "e", "u", "2024-01-01 10:00:00", "S1"),
