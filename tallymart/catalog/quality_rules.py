@@ -93,6 +93,15 @@ def dq_fk_keys(t):
     return quality.foreign_key_violations(t.dirty_orders, "customer_id", t.customers)
 
 
+@query(
+    "dq_not_before",
+    """SELECT 'ship_date not before order_date' AS rule, 'order_items' AS table_name, 'order_id' AS key,
+              count(*) FILTER (ship_date < order_date) AS n_violations FROM shop_items JOIN shop_orders USING (order_id)""",
+)
+def dq_not_before(t):
+    return quality.not_before("order_items", t.items, "ship_date", t.orders, "order_date", "order_id")
+
+
 @query("dq_defaults", "SELECT product_id, arrival, coalesce(category, 'Uncategorized') AS category, coalesce(price, '0') AS price FROM dirty_products")
 def dq_defaults(t):
     rows = t.dirty_products.select("product_id", "arrival", "category", "price")

@@ -89,6 +89,15 @@ def foreign_key(table: str, child: DataFrame, key: str, parent: DataFrame, paren
     return _labelled(count, "foreign_key", table, key)
 
 
+def not_before(
+    table: str, child: DataFrame, day: str, parent: DataFrame, parent_day: str, key: str
+) -> DataFrame:
+    """Child rows dated before their parent, such as orders placed before the customer signed up."""
+    dated = child.select(key, F.col(day).alias("_day")).join(parent.select(key, F.col(parent_day).alias("_from")), key)
+    count = dated.agg(F.count_if(F.col("_day") < F.col("_from")).alias("n_violations"))
+    return _labelled(count, f"{day} not before {parent_day}", table, key)
+
+
 def reconcile(expected: Mapping[str, Column | int], actual: Mapping[str, DataFrame]) -> DataFrame:
     """Expected against actual row count per table."""
     result = None

@@ -58,8 +58,8 @@ def clean_items(
     df = df.withColumn("quantity", tolerant_number(F.col("quantity")))
     df = df.withColumn("unit_price", tolerant_number(F.col("unit_price")))
     df = clean.keep_positive(df, ["quantity", "unit_price"])
-    df = clean.keep_known(df, orders, "order_id")
     df = clean.keep_known(df, products, "product_id")
+    df = clean.keep_known(df, orders, "order_id")  # last, so that keys within an order need no further shuffle
     df = clean.keep_first(df, keys, order)
     exact = F.col("quantity").cast("decimal(12,2)") * F.col("unit_price").cast(MONEY)
     return df.withColumn("line_total", F.bround(exact, 2).cast(MONEY))

@@ -46,3 +46,10 @@ def test_reconcile(products):
 def test_keys_unique(products):
     assert tuple(quality.keys_unique(products, ["id"]).first()) == (4, 3, False)
     assert tuple(quality.keys_unique(products.limit(0), ["id"]).first()) == (0, 0, True)
+
+
+def test_not_before(spark):
+    customers = spark.sql("select 1 as customer_id, date '2024-02-01' as signup_date")
+    orders = spark.sql("select 1 as customer_id, explode(array(date '2024-01-31', date '2024-02-01', null)) as order_date")
+    check = quality.not_before("orders", orders, "order_date", customers, "signup_date", "customer_id")
+    assert tuple(check.first()) == ("order_date not before signup_date", "orders", "customer_id", 1)
