@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.session import materialise, together
 
@@ -177,13 +178,13 @@ def row_number_by(
     """ROW_NUMBER within groups. Groups of ``large_group`` rows or more are numbered across many tasks.
 
     There are at most (rows / large_group) such groups, so their keys stay a small table.
+    ``df`` is read twice, or four times where there are large groups; pass a stored frame where it is costly.
     """
     numbered = F.row_number().over(Window.partitionBy(*by).orderBy(*sort_keys(order))).cast("long")
-    large = materialise(
-        df.groupBy(*by).agg(F.count("*").alias("_n")).filter(F.col("_n") >= large_group).drop("_n"), "large-groups"
-    )
+    large = df.groupBy(*by).agg(F.count("*").alias("_n")).filter(F.col("_n") >= large_group).drop("_n")
     if large.isEmpty():
         return df.withColumn(out, numbered)
+    large = materialise(large, "large-groups")
     keys = large.select(*[F.col(c).alias(f"_key_{c}") for c in by])
     same = F.lit(True)
     for c in by:
@@ -215,12 +216,13 @@ def median(df: DataFrame, column: str) -> DataFrame:
     )  # the one or two range partitions that hold the middle rows
     up_to = F.col("_before_n") + F.sum("_n").over(Window.partitionBy("_part").orderBy("_v"))
     walked = stored.join(F.broadcast(middle), "_part").withColumn("_to", up_to)
-    holds = lambda place: (F.col("_to") >= place) & (F.col("_to") - F.col("_n") < place)
-    return walked.agg(
-        (
-            (F.min(F.when(holds(lower), F.col("_v"))) + F.min(F.when(holds(upper), F.col("_v")))).cast("double") / 2
-        ).alias("median")
-    )
+    whole = isinstance(df.schema[column].dataType, T.IntegralType)
+    value = F.col("_v").cast("decimal(20,0)") if whole else F.col("_v")  # the sum of two has to fit
+
+    def value_at(place: Column) -> Column:
+        return F.min(F.when((F.col("_to") >= place) & (F.col("_to") - F.col("_n") < place), value))
+
+    return walked.agg(((value_at(lower) + value_at(upper)).cast("double") / 2).alias("median"))
 
 
 def mode(df: DataFrame, column: str) -> DataFrame:

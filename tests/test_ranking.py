@@ -88,6 +88,11 @@ def test_median_of_any_values(spark, values):
     assert ranking.median(df, "v").first()[0] == expected
 
 
+def test_median_of_the_largest_values(spark):
+    df = spark.createDataFrame([(2**31 - 1,), (2**31 - 3,)], "v int")
+    assert ranking.median(df, "v").first()[0] == 2.0**31 - 2
+
+
 def test_median_where_one_value_dominates(skewed):
     known = [r.v for r in skewed.collect() if r.v is not None]
     assert ranking.median(skewed, "v").first()[0] == statistics.median(known)
