@@ -69,7 +69,7 @@ def clean_dedup_rows(t):
     return clean.drop_duplicate_rows(t.dirty_customers)
 
 
-@query("clean_dedup_any", "SELECT DISTINCT user_id, transaction_date, 'kept' AS survivor FROM retail")
+@query("clean_dedup_any", "SELECT DISTINCT user_id, transaction_date, 'kept' AS survivor FROM retail", dates=["transaction_date"])
 def clean_dedup_any(t):
     keys = ["user_id", "transaction_date"]
     kept = clean.keep_any(t.retail.select(*keys, "store_id"), keys)
@@ -105,6 +105,7 @@ def clean_text_key(t):
 @query(
     "clean_parse_date",
     "SELECT order_id, arrival, TRY_CAST(order_date AS DATE) AS order_date FROM dirty_orders WHERE TRY_CAST(order_date AS DATE) <= DATE '2025-12-31'",
+    dates=["order_date"],
 )
 def clean_parse_date(t):
     parsed = t.dirty_orders.select("order_id", "arrival", dates.tolerant_date(F.col("order_date")).alias("order_date"))
@@ -160,6 +161,7 @@ def clean_cast_rename(t):
     "clean_parse_timestamp",
     """SELECT store_id, count(*) AS n, count(event_time) AS n_valid, CAST(max(event_time) AS DATE) AS last_day FROM (
        SELECT store_id, TRY_CAST(raw_timestamp AS TIMESTAMP) AS event_time FROM retail) GROUP BY store_id""",
+    dates=["last_day"],
 )
 def clean_parse_timestamp(t):
     parsed = clean.parse_timestamp(t.retail, "raw_timestamp", "event_time")
@@ -170,7 +172,7 @@ def clean_parse_timestamp(t):
     )
 
 
-@query("clean_customers", "SELECT * FROM ok_customers")
+@query("clean_customers", "SELECT * FROM ok_customers", dates=["signup_date"])
 def clean_customers(t):
     return shop_cleaning.clean_customers(t.dirty_customers, ["arrival"])
 
@@ -180,18 +182,18 @@ def clean_products(t):
     return shop_cleaning.clean_products(t.dirty_products, ["arrival"])
 
 
-@query("clean_orders", "SELECT * FROM ok_orders")
+@query("clean_orders", "SELECT * FROM ok_orders", dates=["order_date"])
 def clean_orders(t):
     customers = materialise(shop_cleaning.clean_customers(t.dirty_customers, ["arrival"]))
     return shop_cleaning.clean_orders(t.dirty_orders, customers, ["arrival"])
 
 
-@query("clean_items", "SELECT * REPLACE (CAST(line_total AS DOUBLE) AS line_total) FROM ok_items")
+@query("clean_items", "SELECT * REPLACE (CAST(line_total AS DOUBLE) AS line_total) FROM ok_items", dates=["ship_date"])
 def clean_items(t):
     return cleaned_shop(t).items.withColumn("line_total", F.col("line_total").cast("double"))
 
 
-@query("clean_shop_orders", "SELECT order_id, customer_id, order_date, status FROM ok_sold_orders")
+@query("clean_shop_orders", "SELECT order_id, customer_id, order_date, status FROM ok_sold_orders", dates=["order_date"])
 def clean_shop_orders(t):
     return cleaned_shop(t).orders.select("order_id", "customer_id", "order_date", "status")
 

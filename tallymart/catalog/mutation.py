@@ -24,6 +24,7 @@ def _plain(df):
 @query(
     "merge_scd1",
     f"SELECT {_COLUMNS} FROM (SELECT * FROM order_feed UNION ALL SELECT * FROM shop_orders WHERE order_id NOT IN (SELECT order_id FROM order_feed))",
+    dates=["order_date"],
 )
 def merge_scd1(t):
     return _plain(merge.upsert(t.orders, t.order_feed, ["order_id"]))
@@ -32,6 +33,7 @@ def merge_scd1(t):
 @query(
     "merge_table",
     f"SELECT {_COLUMNS} FROM (SELECT * FROM order_feed UNION ALL SELECT * FROM shop_orders WHERE order_id NOT IN (SELECT order_id FROM order_feed))",
+    dates=["order_date"],
 )
 def merge_table(t):
     """The feed merged into a table by name."""
@@ -56,6 +58,7 @@ def merge_scd1_columns(t):
     """SELECT u AS rows_updated, f - u AS rows_inserted, n - u AS rows_unchanged, DATE '2026-01-01' AS as_of FROM (
        SELECT (SELECT count(*) FROM shop_orders WHERE order_id IN (SELECT order_id FROM order_feed)) AS u,
               (SELECT count(*) FROM order_feed) AS f, (SELECT count(*) FROM shop_orders) AS n)""",
+    dates=["as_of"],
 )
 def merge_metrics(t):
     return merge.merge_metrics(t.orders, t.order_feed, ["order_id"], DAY1)
@@ -64,6 +67,7 @@ def merge_metrics(t):
 @query(
     "scd2_init",
     f"SELECT {_COLUMNS}, DATE '2026-01-01' AS effective_date, CAST(NULL AS DATE) AS end_date, TRUE AS is_current FROM shop_orders",
+    dates=["order_date", "effective_date", "end_date"],
 )
 def scd2_init(t):
     return _plain(merge.scd2_init(t.orders, DAY1))
@@ -73,7 +77,7 @@ _DIFFERS = " OR ".join(f"f.{c} IS DISTINCT FROM o.{c}" for c in TRACKED)
 _CHANGED = f"SELECT f.* FROM order_feed f JOIN shop_orders o ON f.order_id = o.order_id WHERE {_DIFFERS}"
 
 
-@query("scd2_changes", f"SELECT {_COLUMNS} FROM ({_CHANGED})")
+@query("scd2_changes", f"SELECT {_COLUMNS} FROM ({_CHANGED})", dates=["order_date"])
 def scd2_changes(t):
     return _plain(merge.scd2_changes(merge.scd2_init(t.orders, DAY1), t.order_feed, ["order_id"], TRACKED))
 
@@ -91,12 +95,12 @@ def _history(t):
     return merge.scd2_apply(merge.scd2_init(t.orders, DAY1), t.order_feed, ["order_id"], TRACKED, DAY2)
 
 
-@query("scd2_apply", f"{_HISTORY} SELECT {_COLUMNS}, effective_date, end_date, is_current FROM history")
+@query("scd2_apply", f"{_HISTORY} SELECT {_COLUMNS}, effective_date, end_date, is_current FROM history", dates=["order_date", "effective_date", "end_date"])
 def scd2_apply(t):
     return _plain(_history(t))
 
 
-@query("scd2_apply_twice", f"{_HISTORY} SELECT {_COLUMNS}, effective_date, end_date, is_current FROM history")
+@query("scd2_apply_twice", f"{_HISTORY} SELECT {_COLUMNS}, effective_date, end_date, is_current FROM history", dates=["order_date", "effective_date", "end_date"])
 def scd2_apply_twice(t):
     """The same feed once more changes nothing."""
     return _plain(merge.scd2_apply(_history(t), t.order_feed, ["order_id"], TRACKED, date(2026, 3, 1)))
@@ -106,6 +110,7 @@ def scd2_apply_twice(t):
     "scd2_history",
     f"""{_HISTORY} SELECT {_COLUMNS}, effective_date, end_date, is_current FROM history
         WHERE order_id IN (SELECT order_id FROM order_feed)""",
+    dates=["order_date", "effective_date", "end_date"],
 )
 def scd2_history(t):
     return _plain(merge.scd2_history(_history(t), t.order_feed, ["order_id"]))
@@ -186,6 +191,7 @@ def normalize_products(t):
     "normalize_orders",
     """SELECT order_id, order_date, customer_id, product_id, CAST(sales AS DOUBLE) AS sales, quantity, CAST(discount AS DOUBLE) AS discount,
               CAST(profit AS DOUBLE) AS profit FROM sales""",
+    dates=["order_date"],
 )
 def normalize_orders(t):
     lines = _normalised(t).orders

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymart.catalog.tables import Bound, with_views
 
@@ -12,15 +13,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``build(bound)`` under ``name``; without ``sql`` only its rows are checked."""
+def query(name: str, sql: str | None = None, dates: Sequence[str] = ()):
+    """Register ``build(bound)`` under ``name``; without ``sql`` only its rows are checked.
+
+    Dates leave a registered query as ISO text on both sides, since clients turn dates into different types.
+    """
 
     def register(build: Callable[[Bound], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: build(Bound(spark, sf_dir))
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return build(Bound(spark, sf_dir)).withColumns({c: F.col(c).cast("string") for c in dates})
+
+        QUERIES[name] = run if dates else lambda spark, sf_dir: build(Bound(spark, sf_dir))
         if sql is not None:
-            ORACLES[name] = with_views(sql)
+            texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in dates)
+            ORACLES[name] = f"SELECT * REPLACE ({texts}) FROM ({with_views(sql)})" if dates else with_views(sql)
         return build
 
     return register

@@ -19,7 +19,7 @@ def proj_select(t):
     return t.customers.select("customer_id", F.col("name").alias("customer_name"), "segment")
 
 
-@query("proj_star", "SELECT order_id, customer_id, order_date, status, CAST(total_amount AS DOUBLE) AS total_amount, priority FROM shop_orders")
+@query("proj_star", "SELECT order_id, customer_id, order_date, status, CAST(total_amount AS DOUBLE) AS total_amount, priority FROM shop_orders", dates=["order_date"])
 def proj_star(t):
     return t.orders.alias("o").select("o.*").withColumn("total_amount", F.col("total_amount").cast("double"))
 
@@ -29,6 +29,7 @@ def proj_star(t):
     """SELECT offer_id, initial_price - initial_price * discount / 100 AS total_amount,
               final_price * CAST(1.18 AS DOUBLE) AS with_tax, TRUE AS is_current, DATE '2026-01-01' AS loaded_on,
               CAST(NULL AS DATE) AS end_date FROM offers""",
+    dates=["loaded_on", "end_date"],
 )
 def proj_derived(t):
     price = F.col("initial_price")
@@ -79,7 +80,7 @@ def flt_ignore_case(t):
     return t.products.filter(text.same_ignoring_case(F.col("category"), "Promo")).select("product_id", "category")
 
 
-@query("flt_between", "SELECT order_id, order_date FROM shop_orders WHERE order_date BETWEEN DATE '1997-08-10' AND DATE '1997-08-25'")
+@query("flt_between", "SELECT order_id, order_date FROM shop_orders WHERE order_date BETWEEN DATE '1997-08-10' AND DATE '1997-08-25'", dates=["order_date"])
 def flt_between(t):
     # on the raw column, so that the range reaches the Parquet scan
     days = F.col("o_orderdate").between(
@@ -149,7 +150,7 @@ def cnt_filters(t):
 # ---- joins -----------------------------------------------------------------------------
 
 
-@query("join_inner2", "SELECT o.order_id, o.order_date, c.name FROM shop_orders o JOIN shop_customers c ON o.customer_id = c.customer_id")
+@query("join_inner2", "SELECT o.order_id, o.order_date, c.name FROM shop_orders o JOIN shop_customers c ON o.customer_id = c.customer_id", dates=["order_date"])
 def join_inner2(t):
     return t.orders.join(t.customers, "customer_id").select("order_id", "order_date", "name")
 
@@ -167,7 +168,7 @@ def join_inner3(t):
 _PAID = "(SELECT * FROM shop_orders WHERE status = 'completed')"
 
 
-@query("join_left", f"SELECT c.customer_id, c.name, o.order_id, o.order_date FROM shop_customers c LEFT JOIN {_PAID} o ON c.customer_id = o.customer_id")
+@query("join_left", f"SELECT c.customer_id, c.name, o.order_id, o.order_date FROM shop_customers c LEFT JOIN {_PAID} o ON c.customer_id = o.customer_id", dates=["order_date"])
 def join_left(t):
     done = t.orders.filter(F.col("status") == "completed").select("customer_id", "order_id", "order_date")
     return joins.keep_all_parents(t.customers.select("customer_id", "name"), done, "customer_id")
@@ -356,6 +357,7 @@ def agg_conditional(t):
     "agg_max_min",
     """SELECT customer_id, CAST(max(total_amount) AS DOUBLE) AS highest, min(strftime(order_date, '%Y-%m')) AS first_month,
               max(order_date) AS last_date, max(priority) AS last_priority FROM shop_orders GROUP BY customer_id""",
+    dates=["last_date"],
 )
 def agg_max_min(t):
     return t.orders.groupBy("customer_id").agg(

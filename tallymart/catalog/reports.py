@@ -118,12 +118,12 @@ _SPENDING = """SELECT c.customer_id, c.name, v.order_id, v.order_date, CAST(v.va
         FROM order_values v JOIN shop_customers c ON v.customer_id = c.customer_id"""
 
 
-@query("rep_customer_order_history", f"{_SPENDING} ORDER BY customer_id, order_date, order_id LIMIT 50")
+@query("rep_customer_order_history", f"{_SPENDING} ORDER BY customer_id, order_date, order_id LIMIT 50", dates=["order_date"])
 def customer_order_history(t):
     return shop.customer_order_history(t.shop)
 
 
-@query("rep_customer_order_history_all", _SPENDING)
+@query("rep_customer_order_history_all", _SPENDING, dates=["order_date"])
 def customer_order_history_all(t):
     return shop.customer_order_history(t.shop, limit=None)
 
@@ -158,6 +158,7 @@ def cohort_retention(t):
         CASE WHEN date_diff('day', max(order_date), any_value(day)) > 180 THEN 'churned' ELSE 'active' END AS churn_status
         FROM shop_orders o JOIN shop_customers c ON o.customer_id = c.customer_id CROSS JOIN today
         WHERE status = 'completed' GROUP BY o.customer_id""",
+    dates=["last_order_date"],
 )
 def churn(t):
     return shop.churn(t.shop)
@@ -369,7 +370,7 @@ def single_order_customers(t):
 # ---- first shop: filters, aggregates, joins --------------------------------------------
 
 
-@query("rep_shop_delivered", "SELECT order_id, customer_id, order_date FROM shop_orders WHERE status = 'completed'")
+@query("rep_shop_delivered", "SELECT order_id, customer_id, order_date FROM shop_orders WHERE status = 'completed'", dates=["order_date"])
 def shop_delivered(t):
     return t.orders.filter(F.col("status") == "completed").select("order_id", "customer_id", "order_date")
 
@@ -395,13 +396,14 @@ def shop_country_year(t):
 @query(
     "rep_shop_period_open",
     "SELECT order_id, order_date, status FROM shop_orders WHERE order_date BETWEEN DATE '1998-08-10' AND DATE '1998-08-25' AND status <> 'cancelled'",
+    dates=["order_date"],
 )
 def shop_period_open(t):
     in_period = F.col("order_date").between(F.lit("1998-08-10").cast("date"), F.lit("1998-08-25").cast("date"))
     return t.orders.filter(in_period & (F.col("status") != "cancelled")).select("order_id", "order_date", "status")
 
 
-@query("rep_shop_month_orders", "SELECT order_id, order_date FROM shop_orders WHERE order_date BETWEEN DATE '1998-08-01' AND DATE '1998-08-31'")
+@query("rep_shop_month_orders", "SELECT order_id, order_date FROM shop_orders WHERE order_date BETWEEN DATE '1998-08-01' AND DATE '1998-08-31'", dates=["order_date"])
 def shop_month_orders(t):
     in_month = F.col("order_date").between(F.lit("1998-08-01").cast("date"), F.lit("1998-08-31").cast("date"))
     return t.orders.filter(in_month).select("order_id", "order_date")
@@ -462,6 +464,7 @@ def shop_expensive_categories(t):
     "rep_shop_orders_with_names",
     """SELECT o.order_id, o.order_date, c.name, CAST(o.total_amount AS DOUBLE) AS total_amount
        FROM shop_orders o JOIN shop_customers c ON o.customer_id = c.customer_id""",
+    dates=["order_date"],
 )
 def shop_orders_with_names(t):
     rows = t.orders.join(t.customers, "customer_id")
@@ -471,6 +474,7 @@ def shop_orders_with_names(t):
 @query(
     "rep_shop_customers_with_orders",
     "SELECT c.customer_id, c.name, o.order_id, o.order_date FROM shop_customers c LEFT JOIN shop_orders o ON c.customer_id = o.customer_id",
+    dates=["order_date"],
 )
 def shop_customers_with_orders(t):
     orders = t.orders.select("customer_id", "order_id", "order_date")
@@ -503,7 +507,7 @@ def _star(t):
     return buyers.withColumn("buyer_id", F.col("customer_id")), orders
 
 
-@query("rep_shop_left_star", f"SELECT {_STAR} FROM shop_customers c LEFT JOIN shop_orders o ON c.customer_id = o.customer_id")
+@query("rep_shop_left_star", f"SELECT {_STAR} FROM shop_customers c LEFT JOIN shop_orders o ON c.customer_id = o.customer_id", dates=["order_date"])
 def shop_left_star(t):
     buyers, orders = _star(t)
     joined = joins.keep_all_parents(buyers, orders, "customer_id")
@@ -511,7 +515,7 @@ def shop_left_star(t):
     return joined.withColumn("customer_id", F.when(matched, F.col("customer_id")))
 
 
-@query("rep_shop_right_star", f"SELECT {_STAR} FROM shop_customers c RIGHT JOIN shop_orders o ON c.customer_id = o.customer_id")
+@query("rep_shop_right_star", f"SELECT {_STAR} FROM shop_customers c RIGHT JOIN shop_orders o ON c.customer_id = o.customer_id", dates=["order_date"])
 def shop_right_star(t):
     buyers, orders = _star(t)
     return buyers.join(orders, "customer_id", "right")

@@ -24,7 +24,7 @@ def win_rank(t):
     return ranking.rank(_totals(t), ["-total"], "rank")
 
 
-@query("win_dense_rank", "SELECT order_id, order_date, rank() OVER (ORDER BY order_date) AS rank, dense_rank() OVER (ORDER BY order_date) AS dense_rank FROM shop_orders")
+@query("win_dense_rank", "SELECT order_id, order_date, rank() OVER (ORDER BY order_date) AS rank, dense_rank() OVER (ORDER BY order_date) AS dense_rank FROM shop_orders", dates=["order_date"])
 def win_dense_rank(t):
     return ranking.rank(t.orders.select("order_id", "order_date"), ["order_date"], "rank", "dense_rank")
 
@@ -70,7 +70,7 @@ def win_lag(t):
     )
 
 
-@query("win_running", "SELECT order_date, CAST(sum(sum(total_amount)) OVER (ORDER BY order_date) AS DOUBLE) AS running_total FROM shop_orders GROUP BY order_date")
+@query("win_running", "SELECT order_date, CAST(sum(sum(total_amount)) OVER (ORDER BY order_date) AS DOUBLE) AS running_total FROM shop_orders GROUP BY order_date", dates=["order_date"])
 def win_running(t):
     # one row per day reaches the window
     days = t.orders.groupBy("order_date").agg(F.sum("total_amount").alias("_day"))
@@ -92,6 +92,7 @@ def win_moving(t):
     "win_running_part",
     """SELECT order_id, customer_id, order_date,
               CAST(sum(total_amount) OVER (PARTITION BY customer_id ORDER BY order_date) AS DOUBLE) AS running_spend FROM shop_orders""",
+    dates=["order_date"],
 )
 def win_running_part(t):
     # summed per day first: a customer's window is no longer than the calendar
@@ -107,6 +108,7 @@ def win_running_part(t):
 @query(
     "win_top_rank",
     "SELECT * FROM (SELECT order_id, order_date, rank() OVER (ORDER BY order_date DESC) AS rank FROM shop_orders) WHERE rank <= 3",
+    dates=["order_date"],
 )
 def win_top_rank(t):
     return ranking.top_ranked(t.orders.select("order_id", "order_date"), 3, ["-order_date"])
