@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bitplanes, mixing, pseudonyms, repetition
+from tallymart.llm import bitplanes, mixing, pseudonyms, repetition, simhash, toxicity
 from tallymart.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_report(table(spark, sf_dir, "documents"))
 
 
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
+
+
 MIXING_SQL = r"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
