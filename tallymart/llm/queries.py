@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bitplanes, mixing, pseudonyms, repetition, simhash, toxicity
+from tallymart.llm import bitplanes, mixing, pseudonyms, repetition, simhash, toxicity, wrappers
 from tallymart.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_html")
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op3_pii")
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonym_report(table(spark, sf_dir, "documents"), TEST_KEY)

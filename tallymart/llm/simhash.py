@@ -21,13 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import id_and_text, slices, split_words
+from tallymart.llm.shared import id_and_text, mix64, slices, window_hashes, word_hashes
 from tallymart.session import materialise, tune
 
 BITS = 128
 STEP = 1 << 18  # terms whose bits are unpacked at a time
-BASE = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
 
 
 @dataclass(frozen=True)
@@ -50,54 +48,16 @@ class BlockTables:
         return [F.struct(F.lit(t).alias("t"), F.concat(*(parts[b] for b in some)).alias("key")) for t, some in enumerate(chosen)]
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """The finaliser of SplitMix64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _word_hashes(words: pa.Array) -> np.ndarray:
-    """64 bits per word: its bytes as a polynomial modulo 2**64, from running sums over all words, mixed."""
-    _, offsets, data = words.buffers()
-    offsets = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-    text = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
-    offsets -= offsets[0]
-    sums = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum((text + np.uint64(1)) * _powers(BASE, len(text)), out=sums[1:])
-    # a word's sum carries the power of its place; divide by it
-    return _mix((sums[offsets[1:]] - sums[offsets[:-1]]) * _powers(INVERSE, len(text) + 1)[offsets[:-1]])
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out, out=out)
-
-
 def fingerprints(texts: pa.Array, width: int = 3) -> np.ndarray:
     """A row of ``BITS // 8`` bytes per text; zeros for a text without words."""
     n = len(texts)
-    words, first = split_words(texts)
-    out = np.zeros((n, BITS // 8), np.uint8)
-    if not len(words):
-        return out
-    base = _word_hashes(words)
-    counts = np.diff(first)
-    # starts of the terms: all windows of ``width`` words that end in their text, or the whole of a shorter text
-    terms = np.where(counts > 0, np.maximum(counts - width + 1, 1), 0)
+    term, owner = window_hashes(*word_hashes(texts), width)
+    terms = np.bincount(owner, minlength=n)
     term_first = np.r_[0, np.cumsum(terms)]
-    owner = np.repeat(np.arange(n), terms)
-    start = first[:-1][owner] + np.arange(term_first[-1]) - term_first[:-1][owner]
-    end = np.minimum(start + width, first[1:][owner])
-    term = np.zeros(len(start), np.uint64)
-    for k in range(width):
-        inside = start + k < end
-        at = np.where(inside, start + k, 0)
-        term = np.where(inside, _mix(term * BASE + base[at] + np.uint64(k + 1)), term)
+    out = np.zeros((n, BITS // 8), np.uint8)
     filled = np.flatnonzero(terms)
     for lane in range(BITS // 64):
-        bits = _mix(term + np.uint64((lane + 1) * 0xD1B54A32D192ED03 % 2**64)).astype("<u8").view(np.uint8).reshape(-1, 8)
+        bits = mix64(term + np.uint64((lane + 1) * 0xD1B54A32D192ED03 % 2**64)).astype("<u8").view(np.uint8).reshape(-1, 8)
         votes = np.zeros((n, 64), np.int64)
         for a in range(0, len(term), STEP):
             # a byte per bit, added eight at a time in runs too short for a byte to overflow
