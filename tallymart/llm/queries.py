@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bitplanes, mixing, pseudonyms, repetition, simhash, toxicity, wrappers
+from tallymart.llm import bitplanes, jaccard_join, mixing, pseudonyms, repetition, simhash, toxicity, wrappers
 from tallymart.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[0]
 
 
+@query("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"))
+
+
 MIXING_SQL = r"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
