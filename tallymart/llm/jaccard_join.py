@@ -27,6 +27,9 @@ from tallymart.llm.shared import id_and_text, mix64, release_shuffles, slices, w
 from tallymart.session import materialise, tune
 
 
+HASH_RUN = 2 << 20  # bytes whose hashes are in memory at a time
+
+
 @dataclass(frozen=True)
 class JoinRule:
     """Sets of ``width`` words link at ``100 * intersection >= percent * union``."""
@@ -68,7 +71,7 @@ def _describe(rows: DataFrame, width: int) -> DataFrame:
     """Per row of ``rows`` (doc_id, text): doc_id, n, s1, s2."""
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", HASH_RUN):
             n, s1, s2 = _signatures(*_sets(part.column("text"), width), part.num_rows)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(s1), pa.array(s2)], ["doc_id", "n", "s1", "s2"])
 
@@ -79,12 +82,16 @@ def _members(rows: DataFrame, chosen: DataFrame, total: int, rule: JoinRule) ->
     """Per chosen set that can have a partner: doc, n, tokens (sorted, packed) and its prefix of shared tokens."""
 
     def emit(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        hashes, owner = _sets(part.column("text"), rule.width)
-        _, s1, s2 = _signatures(hashes, owner, part.num_rows)
-        # of rows that share an id, the chosen one
-        right = (s1 == part.column("s1").to_numpy()) & (s2 == part.column("s2").to_numpy())
-        keep = right[owner]
-        return hashes[keep], owner[keep]
+        found, row = [], 0
+        for sub in slices([part], "text", HASH_RUN):
+            hashes, owner = _sets(sub.column("text"), rule.width)
+            _, s1, s2 = _signatures(hashes, owner, sub.num_rows)
+            # of rows that share an id, the chosen one
+            right = (s1 == sub.column("s1").to_numpy()) & (s2 == sub.column("s2").to_numpy())
+            keep = right[owner]
+            found.append((hashes[keep], owner[keep] + row))
+            row += sub.num_rows
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
     shared = shared_features(rows.join(chosen, "doc_id"), emit, total)
 

@@ -303,3 +303,10 @@ def links(report: DataFrame) -> DataFrame:
     """Per kind and pseudonym how many documents hold it: the links that the replacement keeps."""
     each = report.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.kind", "f.pseudonym")
     return each.groupBy("kind", "pseudonym").agg(F.countDistinct("doc_id").alias("n_docs"))
+
+
+def recount(docs: DataFrame, text_col: str = "text", count_col: str = "n_chars") -> DataFrame:
+    """``count_col``, if there is one, set to the code points of ``text_col``: pseudonyms of addresses differ in length."""
+    if count_col not in docs.columns:
+        return docs
+    return docs.withColumn(count_col, F.length(text_col).cast(docs.schema[count_col].dataType))

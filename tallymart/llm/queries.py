@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bitplanes, jaccard_join, mixing, pseudonyms, repetition, simhash, toxicity, wrappers
+from tallymart.llm import bitplanes, jaccard_join, mixing, pieces, pseudonyms, repetition, simhash, suffix_dedup, toxicity, wrappers
 from tallymart.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # for the test tables; whoever uses the operator passes a secret key of their own
 TEST_KEY = b"key of the test tables"
@@ -28,6 +29,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 @query("op2_html")
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
@@ -38,6 +44,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonym_report(table(spark, sf_dir, "documents"), TEST_KEY)
 
 
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_report(table(spark, sf_dir, "documents"))

@@ -124,7 +124,7 @@ def fingerprint_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def report(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row so far, which waits for the one that follows it
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 2 << 20):
             rows = part if held is None else pa.concat_batches([held, part])
             held = rows.slice(rows.num_rows - 1)
             if rows.num_rows > 1:
