@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from tallymart.llm.shared import slices
 
 FINGERPRINT_BITS = 48
-PER_BUCKET = 2_000_000
-RUN_BYTES = 24 << 20
+PER_BUCKET = 1_000_000
+RUN_BYTES = 16 << 20
 
 _FRAME = struct.Struct("<QQQ")
 

@@ -27,7 +27,7 @@ from tallymart.llm.shared import id_and_text, mix64, release_shuffles, slices, w
 from tallymart.session import materialise, tune
 
 
-HASH_RUN = 2 << 20  # bytes whose hashes are in memory at a time
+HASH_RUN = 1 << 19  # bytes whose hashes are in memory at a time
 
 
 @dataclass(frozen=True)
@@ -172,14 +172,17 @@ def link_members(members: DataFrame, rule: JoinRule) -> DataFrame:
         members.select("doc", "n", "prefix").join(groups.select("n", "prefix", "grp"), ["n", "prefix"]).select("doc", "grp"), "in-group"
     )
     # one row per group and token of its prefix; m is the largest number of shared tokens of a member
-    postings = materialise(groups.select("grp", "n", "m", F.posexplode("prefix").alias("pos", "token")), "postings")
+    postings = materialise(_one_token_per_list(groups.select("grp", "n", "m", F.posexplode("prefix").alias("pos", "token"))), "postings")
     own_lead = in_group.filter("doc <> grp").select(F.col("grp").alias("a"), F.col("doc").alias("b"))
     at = lambda *more: F.struct("grp", "n", "m", "pos", *more)
 
     links, labels = None, None
     for r in range(rule.star_rounds):
-        # each token's pivot: one of its groups, another one in each round
-        pivots = postings.groupBy("token").agg(F.min(F.struct(F.xxhash64("grp", F.lit(r)).alias("by"), at().alias("p"))).alias("x"), F.count("*").alias("c"))
+        # each token's pivot: the group with the fewest shingles of its own, which edits of one text have in
+        # common with most others; in later rounds any group
+        own = (F.col("n") - F.col("m")) if r == 0 else F.lit(0)
+        by = F.struct(own.alias("own"), F.xxhash64("grp", F.lit(r)).alias("by"), at().alias("p"))
+        pivots = postings.groupBy("token").agg(F.min(by).alias("x"), F.count("*").alias("c"))
         pivots = pivots.filter("c > 1").select("token", F.col("x.p").alias("p"))
         near = postings.select("token", at().alias("q")).join(pivots, "token").filter((F.col("p.grp") != F.col("q.grp")) & _may_link(rule, "p", "q"))
         pairs = near.select(F.col("p.grp").alias("a"), F.col("q.grp").alias("grp")).distinct()
@@ -198,12 +201,15 @@ def link_members(members: DataFrame, rule: JoinRule) -> DataFrame:
     sizes = spread.groupBy("token", F.col("x.comp").alias("comp")).agg(F.count("*").alias("c"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
     mixed = materialise(largest.filter("comps > 1").select("token", F.col("top.comp").alias("top")), "mixed")
-    placed = materialise(spread.join(mixed, "token"), "placed")
+    placed = spread.join(mixed, "token")
+    own = postings.join(mixed, "token").groupBy("grp").agg(F.collect_list("token").alias("tokens"))
+    placed = materialise(placed.withColumn("grp", F.col("x.grp")).join(own, "grp").drop("grp"), "placed")
     # members of a token's largest component meet only those of others
-    few = placed.filter("x.comp <> top").select("token", F.col("x").alias("p"))
-    every = placed.select("token", F.col("x").alias("q"), "top")
+    few = placed.filter("x.comp <> top").select("token", F.col("x").alias("p"), F.col("tokens").alias("ptokens"))
+    every = placed.select("token", F.col("x").alias("q"), "top", F.col("tokens").alias("qtokens"))
+    once = F.array_min(F.array_intersect("ptokens", "qtokens")) == F.col("token")  # a pair meets at one of its tokens
     meet = few.join(every, "token").filter(
-        (F.col("p.comp") != F.col("q.comp")) & ((F.col("q.comp") == F.col("top")) | (F.col("p.doc") < F.col("q.doc"))) & _may_link(rule, "p", "q")
+        (F.col("p.comp") != F.col("q.comp")) & ((F.col("q.comp") == F.col("top")) | (F.col("p.doc") < F.col("q.doc"))) & _may_link(rule, "p", "q") & once
     )
     pairs = meet.select(F.least("p.doc", "q.doc").alias("a"), F.greatest("p.doc", "q.doc").alias("b")).distinct()
     # within a group, those that do not link to its lead
@@ -213,6 +219,16 @@ def link_members(members: DataFrame, rule: JoinRule) -> DataFrame:
     return components(links.unionByName(last))
 
 
+def _one_token_per_list(postings: DataFrame) -> DataFrame:
+    """``postings`` without tokens of one group, and with one of all tokens that the same groups have.
+
+    The tokens of a passage lead to the same pairs; any one of them does, since both filters hold for every token in common.
+    """
+    lists = postings.groupBy("token").agg(F.count("*").alias("c"), *(F.sum(F.xxhash64("grp", F.lit(k)).cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 2)))
+    kept = lists.filter("c > 1").groupBy("c", "s1", "s2").agg(F.min("token").alias("token")).select("token")
+    return postings.join(kept, "token", "left_semi")
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs (a, b) that are not in one component yet."""
     of = lambda x: labels.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))

@@ -34,9 +34,9 @@ from tallymart.llm.pieces import ranges
 from tallymart.llm.shared import id_and_text, mix64, prefix_hashes, release_shuffles, slices, text_bytes
 from tallymart.session import materialise, tune
 
-HASH_RUN = 2 << 20  # bytes whose hashes are in memory at a time
-RUN_BYTES = 16 << 20  # bytes of documents whose equal segments are told apart once
-BLOCK_BYTES = 2 << 20  # bytes of segments in one suffix array
+HASH_RUN = 1 << 19  # bytes whose hashes are in memory at a time
+RUN_BYTES = 12 << 20  # bytes of documents whose equal segments are told apart once
+BLOCK_BYTES = 1 << 20  # bytes of segments in one suffix array
 
 
 @dataclass(frozen=True)
@@ -276,10 +276,17 @@ def _segments(texts: DataFrame, rule: DedupRule) -> DataFrame:
 def _answers(segments: DataFrame, partitions: int, rule: DedupRule) -> DataFrame:
     """Per run what its segments' windows lose to: run, answers (packed rows of ANSWER)."""
 
-    def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        run, no, place = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
-        first, last = (np.array([r[k] for r in rows], np.int64) for k in (4, 5))
-        own, at, holder = smallest_holders([r[3] for r in rows], first, rule.width)
+    def solve(rows: list[tuple], distinct: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+        run, no, place, which, first, last = (np.array([r[k] for r in rows], np.int64) for k in range(6))
+        first_doc = np.full(len(distinct), np.iinfo(np.int64).max)
+        np.minimum.at(first_doc, which, first)
+        segment, at, holder = smallest_holders(list(distinct), first_doc, rule.width)
+        # the windows of a segment for each row that has it
+        begin = np.searchsorted(segment, np.arange(len(distinct) + 1))
+        n = np.diff(begin)[which]
+        picked = ranges(np.arange(len(segment)), begin[which], n)
+        own = np.repeat(np.arange(len(rows)), n)
+        at, holder = at[picked], holder[picked]
         lost = holder < last[own]  # some document of the run has a larger id than the holder
         own, at, holder = own[lost], at[lost], holder[lost]
         if not len(own):
@@ -298,16 +305,20 @@ def _answers(segments: DataFrame, partitions: int, rule: DedupRule) -> DataFrame
         yield pa.RecordBatch.from_pydict({"run": pa.array(of[edges[:-1]]), "answers": pa.array(packed, pa.binary())})
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size, group = [], 0, None
+        rows, distinct, size, group = [], {}, 0, None
+        names = ("run", "no", "place", "segment", "first_doc", "last_doc", "anchor", "part")
         for batch in batches:  # sorted by anchor and part
-            for r in zip(*(batch.column(c).to_pylist() for c in ("run", "no", "place", "segment", "first_doc", "last_doc", "anchor", "part")), strict=True):
-                if size > BLOCK_BYTES and r[6:] != group:
-                    yield from solve(rows)
-                    rows, size = [], 0
-                rows.append(r)
-                size, group = size + len(r[3]), r[6:]
+            for run, no, place, segment, first, last, *own in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if size > BLOCK_BYTES and own != group:
+                    yield from solve(rows, distinct)
+                    rows, distinct, size = [], {}, 0
+                known = len(distinct)
+                which = distinct.setdefault(segment, known)
+                size += len(segment) * (which == known)
+                rows.append((run, no, place, which, first, last))
+                group = own
         if rows:
-            yield from solve(rows)
+            yield from solve(rows, distinct)
 
     given = segments.filter("no >= 0").select("run", "no", "anchor", "segment", "first_doc", "last_doc")
     hot = materialise(given.groupBy("anchor").agg(F.count("*").alias("rows")).filter(F.col("rows") > rule.hot).select("anchor"), "hot-anchors")
@@ -394,7 +405,7 @@ def find_spans(docs: DataFrame, rule: DedupRule = DedupRule(), id_col="doc_id",
     segments = materialise(_segments(texts.join(shared, "doc_id").select("doc_id", "sign", "text", "tokens"), rule), "dedup-segments")
     release_shuffles(spark)
     size = segments.agg(F.sum(F.length("segment"))).first()[0] or 0
-    answers = materialise(_answers(segments, max(1, round(size / (4 * BLOCK_BYTES))), rule), "dedup-answers")
+    answers = materialise(_answers(segments, max(1, round(size / (8 * BLOCK_BYTES))), rule), "dedup-answers")
     release_shuffles(spark)
     return listed, materialise(_spans(segments, answers, rule), "dedup-spans")
 
