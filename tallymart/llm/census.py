@@ -17,9 +17,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallymart.llm.shared import slices
+from tallymart.llm.shared import mix64, slices
 
 FINGERPRINT_BITS = 48
 PER_BUCKET = 1_000_000
@@ -70,7 +69,7 @@ def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def shared_features(docs: DataFrame, emit: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], expected: int) -> DataFrame:
-    """Per document (doc_id, unique and not null) the features it shares: doc_id, tokens (a list of binary values).
+    """Per document (doc_id, unique and not null) the features it shares: doc_id, tokens (a binary value).
 
     ``emit`` gives the hashes of a batch of ``docs`` (doc_id, text, ...) and the row of each; ``expected`` is
     about how many there are. A binary value holds little-endian 64-bit tokens: above the 48-bit fingerprint a
@@ -105,12 +104,15 @@ def shared_features(docs: DataFrame, emit: Callable[[pa.RecordBatch], tuple[np.n
         keep = held > 1
         prints, ids, held = prints[keep], ids[keep], held[keep]
         grade = np.minimum(255, np.floor(8 * np.log2(held))).astype(np.uint64) if len(held) else held.astype(np.uint64)
-        order = np.argsort(ids, kind="stable")
-        tokens, ids = (prints | grade << np.uint64(FINGERPRINT_BITS))[order], ids[order]
-        bounds = _runs(ids)
-        for at in range(0, len(bounds) - 1, 20_000):
-            some = bounds[at : at + 20_001]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[some[:-1]]), binaries(tokens[some[0] : some[-1]], some - some[0])], ["doc_id", "tokens"])
+        tokens = prints | grade << np.uint64(FINGERPRINT_BITS)
+        # documents are dealt out again, many to a row
+        part = mix64(ids.astype(np.uint64)) % np.uint64(1 << bits)
+        order = np.argsort(part, kind="stable")
+        part, ids, tokens = part[order], ids[order], tokens[order]
+        bounds = _runs(part)
+        if len(part):
+            own = pa.array(part[bounds[:-1]].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([own, binaries(ids, bounds), binaries(tokens, bounds)], ["part", "ids", "tokens"])
 
     def tell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, blocks = None, []
@@ -124,15 +126,33 @@ def shared_features(docs: DataFrame, emit: Callable[[pa.RecordBatch], tuple[np.n
         if blocks:
             yield from count(blocks)
 
+    def gather(rows: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        ids = np.frombuffer(b"".join(r[0] for r in rows), "<i8")
+        order = np.argsort(ids, kind="stable")
+        ids, tokens = ids[order], np.frombuffer(b"".join(r[1] for r in rows), "<u8")[order]
+        bounds = _runs(ids)
+        for at in range(0, len(bounds) - 1, 5_000):
+            some = bounds[at : at + 5_001]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some[:-1]]), binaries(tokens[some[0] : some[-1]], some - some[0])], ["doc_id", "tokens"])
+
+    def by_document(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, rows = None, []
+        for batch in batches:  # sorted by part
+            for own, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "ids", "tokens")), strict=True):
+                if own != part and rows:
+                    yield from gather(rows)
+                    rows = []
+                part = own
+                rows.append(tuple(row))
+        if rows:
+            yield from gather(rows)
+
     dealt = docs.mapInArrow(deal, "bucket long, block binary")
-    told = dealt.repartition(1 << bits, "bucket").sortWithinPartitions("bucket").mapInArrow(tell, "doc_id long, tokens binary")
-    return told.groupBy("doc_id").agg(F.collect_list("tokens").alias("tokens"))
+    told = dealt.repartition(1 << bits, "bucket").sortWithinPartitions("bucket").mapInArrow(tell, "part long, ids binary, tokens binary")
+    return told.repartition(1 << bits, "part").sortWithinPartitions("part").mapInArrow(by_document, "doc_id long, tokens binary")
 
 
 def joined(tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of an array of lists of binary values, back to back, and where each row's begin."""
-    flat = tokens.flatten()
-    inner = tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
-    sizes = np.array([len(x) // 8 for x in flat.to_pylist()], np.int64)
-    values = np.frombuffer(b"".join(flat.to_pylist()), "<u8")
-    return values, np.r_[0, np.cumsum(sizes)][inner]
+    """The tokens of an array of binary values, back to back, and where each row's begin."""
+    rows = tokens.to_pylist()
+    return np.frombuffer(b"".join(rows), "<u8"), np.r_[0, np.cumsum([len(x) // 8 for x in rows], dtype=np.int64)]

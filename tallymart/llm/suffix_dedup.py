@@ -390,19 +390,19 @@ def find_spans(docs: DataFrame, rule: DedupRule = DedupRule(), id_col="doc_id",
     firsts = listed.groupBy("sha").agg(F.min("doc_id").alias("first"))
     listed = materialise(listed.join(firsts, "sha"), "dedup-listed")
     total = listed.agg(F.sum("n_bytes")).first()[0] or 0
-    # texts that are first with their bytes: all but copies, short ones and those without an id
-    others = listed.filter(~F.coalesce((F.col("doc_id") == F.col("first")) & (F.col("n_bytes") >= rule.width), F.lit(False)))
-    others = others.filter("doc_id IS NOT NULL").select("doc_id", "sign").distinct()
-    texts = signed.filter("doc_id IS NOT NULL").select("doc_id", "sign", "text").join(materialise(others, "dedup-others"), ["doc_id", "sign"], "left_anti")
+    # texts that are first with their bytes: no copies, no short ones, none without an id
+    chosen = listed.filter((F.col("doc_id") == F.col("first")) & (F.col("n_bytes") >= rule.width))
+    chosen = materialise(chosen.select("doc_id", "sign").distinct(), "dedup-chosen")
+    texts = signed.select("doc_id", "sign", "text")
 
     def emit(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         found = [(hashes, own) for _, _, hashes, own, *_ in _anchors_of(part, rule)]
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
     expected = 2 * total // (rule.width - rule.anchor + 2)
-    shared = materialise(shared_features(texts, emit, expected), "dedup-anchors")
+    shared = materialise(shared_features(texts.join(chosen, ["doc_id", "sign"]), emit, expected), "dedup-anchors")
     release_shuffles(spark)
-    segments = materialise(_segments(texts.join(shared, "doc_id").select("doc_id", "sign", "text", "tokens"), rule), "dedup-segments")
+    segments = materialise(_segments(texts.join(shared.join(chosen, "doc_id"), ["doc_id", "sign"]).select("doc_id", "sign", "text", "tokens"), rule), "dedup-segments")
     release_shuffles(spark)
     size = segments.agg(F.sum(F.length("segment"))).first()[0] or 0
     answers = materialise(_answers(segments, max(1, round(size / (8 * BLOCK_BYTES))), rule), "dedup-answers")
