@@ -60,7 +60,7 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
