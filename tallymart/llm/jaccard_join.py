@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.census import joined, shared_features
-from tallymart.llm.shared import id_and_text, mix64, release_shuffles, slices, window_hashes, word_hashes
+from tallymart.llm.shared import fresh, id_and_text, mix64, release_shuffles, slices, window_hashes, word_hashes
 from tallymart.session import materialise, tune
 
 
@@ -266,5 +266,6 @@ def keep_one_of_each(docs: DataFrame, rule: JoinRule = JoinRule(), id_col="doc_i
     """The rows of ``docs`` whose id is the smallest of its component, all columns; a repeated id keeps its rows,
     a null id is kept."""
     linked = link_documents(docs, rule, id_col, text_col)
-    others = materialise(linked.filter("doc_id <> component_id").select(F.col("doc_id").alias("other_id")).distinct(), "near-copies")
-    return docs.join(others, F.col(id_col) == F.col("other_id"), "left_anti")
+    other = fresh(docs, "other_id")
+    others = materialise(linked.filter("doc_id <> component_id").select(F.col("doc_id").alias(other)).distinct(), "near-copies")
+    return docs.join(others, F.col(id_col) == F.col(other), "left_anti")

@@ -233,7 +233,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rule: ToxicityRule = Toxi
     spark = tune(docs.sparkSession)
     rows = id_and_text(docs, id_col, text_col)
     train = F.broadcast(materialise(training_rows(labels, rule), "toxic-train"))  # train_rows at most
-    sizes = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["toxic"]: r["n"] for r in rows.select("doc_id").join(train, "doc_id").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     counts = term_counts(rows.join(train, "doc_id"))
     scores = term_scores(counts, sizes.get(1, 0), sizes.get(0, 0), rule)
     model = ToxicityModel(scores, rule.drift, significance=rule.significance)
