@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # The date spellings that occur in the feeds.
 DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy")
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
 def month_label(d: Column) -> Column:
@@ -30,5 +31,6 @@ def tolerant_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Colu
 
 
 def tolerant_number(text: Column) -> Column:
-    """Double, NULL where the text is no number (or says NaN)."""
-    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+    """Double, NULL where the text is no number (or says NaN, or ends in a type letter as in ``10d``)."""
+    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.nanvl(number, F.lit(None).cast("double"))

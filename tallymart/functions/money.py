@@ -23,11 +23,16 @@ def to_double(c: Column | str, places: int = 2) -> Column:
 
 
 def mean(sum_: Column, count: Column) -> Column:
-    """Mean of decimals rounded to cents; NULL for no rows.
+    """Mean of decimals rounded half away from zero to cents; NULL for no rows.
 
-    Divides the exact sum once: ``avg`` of a decimal rounds to four more digits first.
+    Divides once, in whole cents: a quotient of decimals keeps six digits only if the sum is wide, and
+    rounding that again can be a cent off.
     """
-    return F.round(F.try_divide(sum_, count.cast("decimal(20,0)")), 2).cast("double")
+    n = count.cast("decimal(38,0)")
+    cents = (F.abs(sum_) * 100).cast("decimal(38,0)")
+    whole = F.call_function("div", cents * 2 + n, n * 2)
+    sign = F.when(sum_ < 0, -1.0).otherwise(1.0)
+    return F.when(count > 0, sign * whole.cast("double") / 100.0)
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -235,3 +235,21 @@ def test_deals(spark):
         ("b", 66.0, "s", "i", 2380.0),
         ("c", 68.0, "s", "i", 32.0),
     ]
+
+
+def test_mean_divides_once(spark):
+    from decimal import Decimal
+
+    from tallymart.functions import money
+
+    rows = [("100000.00", 20000001, 0.0), ("2010000.00", 2000001, 1.0), ("-0.01", 2, -0.01), ("0.01", 3, 0.0), ("12.35", 1, 12.35)]
+    given = spark.createDataFrame([(Decimal(s), n, e) for s, n, e in rows], "s decimal(38,2), n long, e double")
+    assert all(r.m == r.e for r in given.select("e", money.mean(F.col("s"), F.col("n")).alias("m")).collect())
+
+
+def test_numbers_without_type_letters(spark):
+    from tallymart.functions.dates import tolerant_number
+
+    texts = ["10d", "5f", " 7 ", "1e3", ".5", "-2.", "NaN", "abc", "", None]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(tolerant_number(F.col("t")).alias("n")).collect()
+    assert [r.n for r in found] == [None, None, 7.0, 1000.0, 0.5, -2.0, None, None, None, None]
