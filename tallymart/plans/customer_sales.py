@@ -11,8 +11,14 @@ from tallymart.operators import ranking
 from tallymart.session import materialise
 
 
+def _above_average(rows: DataFrame, column: str) -> DataFrame:
+    """Rows above the mean of ``column``: ``x * count > sum`` is exact, a decimal average is cut to six digits."""
+    n = rows.agg(F.count(column).cast("decimal(18,0)")).scalar()
+    return rows.filter(F.col(column) * n > rows.agg(F.sum(column)).scalar())
+
+
 def above_average_lines(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.col("sales") > lines.agg(F.avg("sales")).scalar())
+    return _above_average(lines, "sales")
 
 
 def highest_line(lines: DataFrame) -> DataFrame:
@@ -24,8 +30,7 @@ def total_sales(lines: DataFrame) -> DataFrame:
 
 
 def above_average_customers(lines: DataFrame) -> DataFrame:
-    totals = total_sales(lines)
-    return totals.filter(F.col("total_sales") > totals.agg(F.avg("total_sales")).scalar())
+    return _above_average(total_sales(lines), "total_sales")
 
 
 def ranked(lines: DataFrame) -> DataFrame:

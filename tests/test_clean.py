@@ -253,3 +253,13 @@ def test_numbers_without_type_letters(spark):
     texts = ["10d", "5f", " 7 ", "1e3", ".5", "-2.", "NaN", "abc", "", None]
     found = spark.createDataFrame([(t,) for t in texts], "t string").select(tolerant_number(F.col("t")).alias("n")).collect()
     assert [r.n for r in found] == [None, None, 7.0, 1000.0, 0.5, -2.0, None, None, None, None]
+
+
+def test_above_average_is_exact(spark):
+    from tallymart.plans import customer_sales
+
+    lines = spark.range(100_000).select(
+        F.col("id").alias("customer_id"), F.when(F.col("id") == 0, 4.99).otherwise(5.00).cast("decimal(12,2)").alias("sales")
+    )
+    assert customer_sales.above_average_lines(lines).count() == 99_999
+    assert customer_sales.above_average_customers(lines).count() == 99_999
