@@ -19,7 +19,6 @@ from pyspark.sql import types as T
 
 from tallymart.session import materialise, together
 
-HEAD_ROWS = 10_000  # up to so many rows a window may run in one task
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -103,12 +102,12 @@ def rank(
 
 
 def top_ranked(df: DataFrame, k: int, order: Sequence[str], out: str = "rank") -> DataFrame:
-    """Rows with RANK <= k, ties kept. At most k distinct values can have such a rank.
+    """Rows with RANK <= k, ties kept.
 
-    For k up to ``HEAD_ROWS`` only those values are ranked; ``df`` is read twice.
+    At most k distinct values can have such a rank, and only those are ranked; ``df`` is read twice. Spark's top-k
+    leaves them sorted in one partition, so the running count over them moves nothing. The join has no broadcast
+    hint, as k is the caller's.
     """
-    if k > HEAD_ROWS:
-        return rank(df, order, out).filter(F.col(out) <= k)
     cols = [column_of(t) for t in order]
     earlier = Window.orderBy(*sort_keys(order)).rowsBetween(Window.unboundedPreceding, -1)
     leaders = (
@@ -123,9 +122,7 @@ def top_ranked(df: DataFrame, k: int, order: Sequence[str], out: str = "rank") -
     same = F.lit(True)
     for c in cols:
         same = same & df[c].eqNullSafe(leaders[f"_key_{c}"])
-    return df.join(F.broadcast(leaders), same).select(  # at most k rows
-        *[df[c] for c in df.columns], F.col("_rank").alias(out)
-    )
+    return df.join(leaders, same).select(*[df[c] for c in df.columns], F.col("_rank").alias(out))
 
 
 def _at_or_after(order: Sequence[str], cut: Row) -> Column:
@@ -168,37 +165,20 @@ def ntile(df: DataFrame, n: int, order: Sequence[str], out: str) -> DataFrame:
     return ntiles(df, {out: (n, order)})
 
 
-def row_number_by(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    out: str = "row_num",
-    large_group: int = 5_000_000,
-) -> DataFrame:
-    """ROW_NUMBER within groups. Groups of ``large_group`` rows or more are numbered across many tasks.
+def row_number_by(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "row_num") -> DataFrame:
+    """ROW_NUMBER within groups: the place in the whole table, sorted by group, less that of the group's first row.
 
-    There are at most (rows / large_group) such groups, so their keys stay a small table.
-    ``df`` is read twice, or four times where there are large groups; pass a stored frame where it is costly.
+    Groups of any size are cut by the range partitions, so none has to fit in a task. ``order`` has to be
+    total within a group for a repeatable result.
     """
-    numbered = F.row_number().over(Window.partitionBy(*by).orderBy(*sort_keys(order))).cast("long")
-    large = df.groupBy(*by).agg(F.count("*").alias("_n")).filter(F.col("_n") >= large_group).drop("_n")
-    if large.isEmpty():
-        return df.withColumn(out, numbered)
-    large = materialise(large, "large-groups")
-    keys = large.select(*[F.col(c).alias(f"_key_{c}") for c in by])
-    same = F.lit(True)
-    for c in by:
-        same = same & df[c].eqNullSafe(keys[f"_key_{c}"])
-    small_rows = df.join(keys, same, "left_anti").withColumn(out, numbered)
-    ranked = positions(df.join(keys, same, "left_semi"), [*by, *order])
-    first = ranked.groupBy(*[F.col(c).alias(f"_key_{c}") for c in by]).agg(F.min("_rn").alias("_first"))
+    placed = positions(df, [*by, *order])
+    first = placed.groupBy(*[F.col(c).alias(f"_key_{c}") for c in by]).agg(F.min("_rn").alias("_first"))
     same = F.lit(True)
     for c in by:
-        same = same & ranked[c].eqNullSafe(first[f"_key_{c}"])
-    large_rows = ranked.join(first, same).select(
-        *[ranked[c] for c in df.columns], (F.col("_rn") - F.col("_first") + 1).alias(out)
+        same = same & placed[c].eqNullSafe(first[f"_key_{c}"])
+    return placed.join(first, same).select(
+        *[placed[c] for c in df.columns], (F.col("_rn") - F.col("_first") + 1).alias(out)
     )
-    return small_rows.unionByName(large_rows)
 
 
 def median(df: DataFrame, column: str) -> DataFrame:

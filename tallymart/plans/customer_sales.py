@@ -37,9 +37,9 @@ def ranked(lines: DataFrame) -> DataFrame:
     return ranking.rank(materialise(total_sales(lines)), ["-total_sales"], "customer_rank")
 
 
-def numbered_lines(lines: DataFrame, tie_break: Sequence[str], large_group: int = 5_000_000) -> DataFrame:
+def numbered_lines(lines: DataFrame, tie_break: Sequence[str]) -> DataFrame:
     """Row number of each line within its customer, largest sale first."""
-    return ranking.row_number_by(lines, ["customer_id"], ["-sales", *tie_break], "row_num", large_group)
+    return ranking.row_number_by(lines, ["customer_id"], ["-sales", *tie_break], "row_num")
 
 
 def top_ranked(lines: DataFrame, k: int = 3) -> DataFrame:

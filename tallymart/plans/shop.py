@@ -139,19 +139,20 @@ def _lifetime(shop: Shop) -> DataFrame:
 
 
 def top_customers(shop: Shop, limit: int | None = 10) -> DataFrame:
-    """Customers with RANK by lifetime value. The rank of a top row only depends on rows above it."""
-    if limit is None or limit > ranking.HEAD_ROWS:
+    """Customers with RANK by lifetime value. The rank of a top row only depends on rows above it,
+    so a limited report ranks its own rows only; the whole one is ranked across tasks."""
+    if limit is None:
         ranked = ranking.rank(materialise(_lifetime(shop)), ["-lifetime_value"], "ltv_rank")
     else:
         top = _lifetime(shop).orderBy(*ranking.sort_keys(_BY_VALUE)).limit(limit)
         ranked = top.withColumn("ltv_rank", F.rank().over(Window.orderBy(F.desc("lifetime_value"))).cast("long"))
-    return _limited(ranked.orderBy("ltv_rank", "customer_id"), limit)
+    return ranked.orderBy("ltv_rank", "customer_id")
 
 
 def customer_ltv(shop: Shop, limit: int | None = 25) -> DataFrame:
     """Rank, dense rank and quartile (1 = top spenders) by lifetime value."""
     customers = materialise(_lifetime(shop))
-    if limit is None or limit > ranking.HEAD_ROWS:
+    if limit is None:
         ranked = ranking.rank(customers, ["-lifetime_value"], "ltv_rank", "ltv_dense_rank")
         scored = ranking.ntile(ranked, 4, _BY_VALUE, "ltv_quartile")
     else:
@@ -165,7 +166,7 @@ def customer_ltv(shop: Shop, limit: int | None = 25) -> DataFrame:
             .withColumn("ltv_dense_rank", F.dense_rank().over(by_value).cast("long"))
             .withColumn("ltv_quartile", ranking.bucket_of(place, rows, 4))
         )
-    return _limited(scored.orderBy(*ranking.sort_keys(_BY_VALUE)), limit)
+    return scored.orderBy(*ranking.sort_keys(_BY_VALUE))
 
 
 def aov_by_segment(shop: Shop) -> DataFrame:

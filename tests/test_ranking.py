@@ -66,17 +66,20 @@ def test_top_ranked_keeps_ties(spark):
     assert rows(ranking.top_ranked(df, 4, ["-v"])) == [(1, 9, 1), (2, 9, 1), (3, 8, 3), (4, 7, 4), (5, 7, 4)]
 
 
-def test_top_ranked_beyond_the_head(skewed, monkeypatch):
-    few = rows(ranking.top_ranked(skewed, 40, ["-v"]))
-    monkeypatch.setattr(ranking, "HEAD_ROWS", 10)
-    assert rows(ranking.top_ranked(skewed, 40, ["-v"])) == few
+@pytest.mark.parametrize("k", [1, 40, 1500, 20_000])
+def test_top_ranked_is_the_head_of_all_ranks(skewed, k):
+    assert rows(ranking.top_ranked(skewed, k, ["-v"])) == rows(ranking.rank(skewed, ["-v"]).filter(F.col("rank") <= k))
 
 
-@pytest.mark.parametrize("large_group", [1, 900, 10_000])
-def test_row_number_within_groups_whatever_counts_as_large(skewed, large_group):
-    by_value = Window.partitionBy("v").orderBy(F.desc("g"), "id")
-    expected = skewed.withColumn("n", F.row_number().over(by_value))
-    assert rows(ranking.row_number_by(skewed, ["v"], ["-g", "id"], "n", large_group)) == rows(expected)
+@pytest.mark.parametrize("by", [["v"], ["g"], ["g", "v"]])
+def test_row_number_within_groups_equals_the_plain_window(skewed, by):
+    expected = skewed.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("g"), "id")))
+    assert rows(ranking.row_number_by(skewed, by, ["-g", "id"] if by == ["v"] else ["id"], "n")) == rows(expected)
+
+
+def test_row_number_within_groups_runs_no_one_task_sort_of_a_group(skewed):
+    plan = ranking.row_number_by(skewed, ["v"], ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan.lower()
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
