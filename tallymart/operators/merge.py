@@ -130,7 +130,7 @@ def upsert_table(name: str, source: DataFrame, keys: Sequence[str], path: str) -
 def scd2_history(history: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All versions of the keys that the feed names, in time order."""
     keys = list(keys)
-    return history.join(source.select(*keys), keys, "left_semi").orderBy(*keys, "effective_date")
+    return history.join(source.select(*keys).distinct(), keys, "left_semi").orderBy(*keys, "effective_date")
 
 
 def update_where(df: DataFrame, condition: Column, values: Mapping[str, Column]) -> DataFrame:
@@ -170,15 +170,26 @@ def place_orders(
     items: DataFrame,
     new_orders: DataFrame,
     new_items: DataFrame,
+    item_key: Sequence[str] | None = None,
 ) -> Placement:
     """Add orders with their items and take the items out of stock, as one unit.
 
-    Write the snapshots only where ``violations`` is empty (see ``accept``).
+    Order ids have to be new and unique, and so has ``item_key`` where items have one. Write the snapshots only
+    where ``violations`` is empty (see ``accept``).
     """
+    item_keys = [] if item_key is None else [
+        quality.primary_key("order_items", new_items, item_key),
+        quality.new_key("order_items", new_items, item_key, items),
+    ]
     next_orders = orders.unionByName(new_orders)
     next_items = items.unionByName(new_items)
     next_products = reduce_stock(products, new_items)
     violations = quality.report(
+        quality.primary_key("orders", new_orders, ["order_id"]),
+        quality.new_key("orders", new_orders, ["order_id"], orders),
+        *item_keys,
+        quality.not_null("orders", new_orders, ["customer_id"]),
+        quality.not_null("order_items", new_items, ["order_id", "product_id", "quantity"]),
         quality.foreign_key("orders", new_orders, "customer_id", customers),
         quality.foreign_key("order_items", new_items, "order_id", next_orders),
         quality.foreign_key("order_items", new_items, "product_id", products),

@@ -39,6 +39,12 @@ def primary_key(table: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _labelled(count, "primary_key", table, ",".join(keys))
 
 
+def new_key(table: str, df: DataFrame, keys: Sequence[str], existing: DataFrame) -> DataFrame:
+    """Keys of ``df`` that ``existing`` already has. ``df`` is the small side, which Spark may broadcast."""
+    taken = existing.select(*keys).join(df.select(*keys).distinct(), list(keys), "left_semi").distinct()
+    return _labelled(taken.agg(F.count("*").alias("n_violations")), "new_key", table, ",".join(keys))
+
+
 def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; NULL never collides."""
     return df.filter(_no_null(keys)).groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")

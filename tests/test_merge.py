@@ -180,6 +180,23 @@ def test_a_broken_rule_refuses_the_order(spark, shop, change, rule):
         merge.accept(placed)
 
 
+def test_order_and_item_keys_are_new_and_unique(spark, shop):
+    def broken(orders, items, item_key=("order_id", "product_id")):
+        new_orders = spark.createDataFrame(orders, shop["orders"].schema)
+        new_items = spark.createDataFrame(items, shop["items"].schema)
+        placed = merge.place_orders(*shop.values(), new_orders, new_items, item_key)
+        return {(r.table_name, r.rule, r.n_violations) for r in placed.violations.collect()}
+
+    good = (101, 2, Decimal(8))
+    assert broken([good], [(101, 10, 1)]) == set()
+    assert broken([good, good], [(101, 10, 1)]) == {("orders", "primary_key", 1)}
+    assert broken([(100, 2, Decimal(8))], [(100, 11, 1)]) == {("orders", "new_key", 1)}
+    assert broken([(101, None, Decimal(8))], [(101, 10, 1)]) == {("orders", "not_null customer_id", 1)}
+    assert broken([good], [(101, 10, 1), (101, 10, 2)]) == {("order_items", "primary_key", 1)}
+    assert broken([good], [(100, 10, 1)]) == {("order_items", "new_key", 1)}
+    assert broken([good], [(101, 10, None)]) == {("order_items", "not_null quantity", 1)}
+
+
 def test_normalise_keeps_one_row_per_product(spark):
     flat = spark.createDataFrame(
         [(1, "o1", "c1", "Ann", "VIP", "p1", "Pen", "Office", 5), (2, "o1", "c1", "Ann", "VIP", "p1", "Pencil", "Office", 7)],
