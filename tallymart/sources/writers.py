@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.sources import readers
 
@@ -15,7 +16,7 @@ def csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
     Blanks around a text are kept; an empty text reads back as NULL, as files do not tell them apart.
     """
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     writer = out.write.mode("overwrite").option("header", True).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
@@ -34,9 +35,16 @@ def publish(df: DataFrame, name: str, path: str) -> None:
     """Write the next snapshot of a table to a new path and point the table there.
 
     The old files stay as they were, so ``df`` may read the table itself, and readers never see half a write.
+    Refuses other columns or types than the table's.
     """
+    have = [(f.name, f.dataType) for f in df.schema.fields]
+    want = [(f.name, f.dataType) for f in df.sparkSession.table(name).schema.fields]
+    if have != want:
+        raise ValueError(f"columns of {name} are {want}, got {have}")
     df.write.mode("error").parquet(path)
-    df.sparkSession.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    quoted_name = ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in name.split("."))
+    quoted_path = path.replace("\\", "\\\\").replace("'", "\\'")
+    df.sparkSession.sql(f"ALTER TABLE {quoted_name} SET LOCATION '{quoted_path}'")
 
 
 def append_to_table(df: DataFrame, name: str) -> None:
@@ -59,10 +67,32 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def copy_csv(spark: SparkSession, source: str, target: str, schema: str) -> DataFrame:
-    """Copy a CSV folder and compare both sides: ``(n_source, n_target, same_rows)``."""
-    csv(readers.csv(spark, source, schema), target)
-    before = fingerprint(readers.csv(spark, source, schema))
-    after = fingerprint(readers.csv(spark, target, schema)).select(F.struct("n_rows", "hash_sum").alias("t")).scalar()
+    """Copy a CSV folder and compare both sides: ``(n_source, n_target, same_rows)``.
+
+    Cells are copied and compared as text, so one that does not fit ``schema`` is kept, and a lost one is seen;
+    ``unfit_rows`` finds those.
+    """
+    csv(readers.csv(spark, source, _as_text(schema)), target)
+    return compare_copies(spark, source, target, schema)
+
+
+def _as_text(schema: str) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in T.StructType.fromDDL(schema).fields)
+
+
+def unfit_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of a CSV folder, as text, with a cell that is not of its column's type."""
+    unfit = F.lit(False)
+    for f in T.StructType.fromDDL(schema).fields:
+        unfit = unfit | (F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull())
+    return readers.csv(spark, path, _as_text(schema)).filter(unfit)
+
+
+def compare_copies(spark: SparkSession, source: str, target: str, schema: str) -> DataFrame:
+    """Rows of two CSV folders and whether all their cells agree as text: ``(n_source, n_target, same_rows)``."""
+    text = _as_text(schema)
+    before = fingerprint(readers.csv(spark, source, text))
+    after = fingerprint(readers.csv(spark, target, text)).select(F.struct("n_rows", "hash_sum").alias("t")).scalar()
     return before.withColumn("t", after).select(
         F.col("n_rows").alias("n_source"),
         F.col("t.n_rows").alias("n_target"),

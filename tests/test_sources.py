@@ -59,6 +59,18 @@ def test_copy_is_verified(spark, quoted):
     assert writers.fingerprint(quoted).first() != writers.fingerprint(quoted.filter("id > 1")).first()
 
 
+def test_a_copy_keeps_cells_that_do_not_fit_and_sees_lost_ones(spark):
+    raw = spark.createDataFrame([("1", "2.5"), ("abc", "not a number"), ("3", None)], "id string, price string")
+    source, target, emptied = (new_path(spark, name) for name in "abc")
+    schema = "id bigint, price double"
+    writers.csv(raw, source)
+    assert tuple(writers.copy_csv(spark, source, target, schema).first()) == (3, 3, True)
+    assert rows(readers.csv(spark, target, "id string, price string")) == rows(raw)
+    assert rows(writers.unfit_rows(spark, target, schema)) == [("abc", "not a number")]
+    writers.csv(readers.csv(spark, source, schema), emptied)
+    assert tuple(writers.compare_copies(spark, source, emptied, schema).first()) == (3, 3, False)
+
+
 def test_append_checks_the_columns(spark, quoted):
     writers.replace_table(quoted, "labels_t", new_path(spark, "t"))
     writers.append_to_table(quoted.select("label", "id"), "labels_t")
