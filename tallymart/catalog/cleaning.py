@@ -16,10 +16,15 @@ ITEM_KEYS = ["order_id", "line_no"]
 ITEM_ARRIVAL = ["product_id", "store_id", "ship_date", "quantity", "unit_price"]
 
 
+ARRIVAL = {"customers": ["arrival"], "products": ["arrival"], "orders": ["arrival"], "items": ITEM_ARRIVAL}
+
+
+def _raw(t) -> shop_cleaning.RawShop:
+    return shop_cleaning.RawShop(t.dirty_customers, t.dirty_products, t.dirty_orders, t.dirty_items)
+
+
 def cleaned_shop(t) -> shop_cleaning.CleanShop:
-    raw = shop_cleaning.RawShop(t.dirty_customers, t.dirty_products, t.dirty_orders, t.dirty_items)
-    arrival = {"customers": ["arrival"], "products": ["arrival"], "orders": ["arrival"], "items": ITEM_ARRIVAL}
-    return shop_cleaning.clean_shop(raw, arrival, ITEM_KEYS)
+    return shop_cleaning.clean_shop(_raw(t), ARRIVAL, ITEM_KEYS)
 
 
 @query(
@@ -190,12 +195,15 @@ def clean_orders(t):
 
 @query("clean_items", "SELECT * REPLACE (CAST(line_total AS DOUBLE) AS line_total) FROM ok_items", dates=["ship_date"])
 def clean_items(t):
-    return cleaned_shop(t).items.withColumn("line_total", F.col("line_total").cast("double"))
+    items = shop_cleaning.clean_tables(_raw(t), ARRIVAL, ITEM_KEYS).items
+    return items.withColumn("line_total", F.col("line_total").cast("double"))
 
 
 @query("clean_shop_orders", "SELECT order_id, customer_id, order_date, status FROM ok_sold_orders", dates=["order_date"])
 def clean_shop_orders(t):
-    return cleaned_shop(t).orders.select("order_id", "customer_id", "order_date", "status")
+    tables = shop_cleaning.clean_tables(_raw(t), ARRIVAL, ITEM_KEYS)
+    sold = clean.keep_parents_with_children(tables.orders, tables.items, "order_id")
+    return sold.select("order_id", "customer_id", "order_date", "status")
 
 
 @query(

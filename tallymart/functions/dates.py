@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The date spellings that occur in the feeds.
-DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy")
+DATE_FORMATS = ("yyyy-MM-dd", "dd-MM-yyyy", "M/d/yyyy")
 NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
 

@@ -17,7 +17,8 @@ def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 
 
 def fill_median(df: DataFrame, column: str) -> DataFrame:
-    filler = ranking.median(df, column).scalar()
+    """NULLs become the median, in the column's own type: rounded where that has fewer digits."""
+    filler = ranking.median(df, column).scalar().cast(df.schema[column].dataType)
     return df.withColumn(column, F.coalesce(F.col(column), filler))
 
 
@@ -70,8 +71,8 @@ def keep_allowed(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFram
 
 
 def keep_known(df: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Rows whose key occurs in ``parent``."""
-    known = parent.select(F.col(parent_key or key).alias(key))
+    """Rows whose key occurs in ``parent``, whose keys shrink to one row each first."""
+    known = parent.select(F.col(parent_key or key).alias(key)).distinct()
     return df.join(known, key, "left_semi")
 
 

@@ -24,7 +24,7 @@ def keep_all_parents(parent: DataFrame, child: DataFrame, key: str) -> DataFrame
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key (NULL too) has no parent."""
-    return child.join(parent.select(F.col(parent_key or key).alias(key)), key, "left_anti")
+    return child.join(parent.select(F.col(parent_key or key).alias(key)).distinct(), key, "left_anti")
 
 
 def changed_rows(

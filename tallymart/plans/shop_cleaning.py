@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart import schemas
-from tallymart.functions.dates import tolerant_date, tolerant_number
+from tallymart.functions.dates import DATE_FORMATS, tolerant_date, tolerant_number
 from tallymart.functions.money import MONEY
 from tallymart.functions.text import missing_to_null, strip_space, text_key
 from tallymart.operators import clean, profile
@@ -23,13 +23,13 @@ from tallymart.session import materialise, together
 LAST_DAY = date(2025, 12, 31)  # fixed value: orders after this day are entry errors
 
 
-def clean_customers(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def clean_customers(df: DataFrame, order: Sequence[str], formats: tuple[str, ...] = DATE_FORMATS) -> DataFrame:
     """First copy per customer; dropped if that copy has no email or no valid signup date."""
     df = df.withColumn("email", missing_to_null(text_key(F.col("email"))))
     df = clean.keep_first(df, ["customer_id"], order)
     df = clean.drop_null(df, ["email"])
     df = clean.fill_constants(df, {"country": schemas.DEFAULT_COUNTRY})
-    df = df.withColumn("signup_date", tolerant_date(F.col("signup_date")))
+    df = df.withColumn("signup_date", tolerant_date(F.col("signup_date"), formats))
     df = clean.drop_null(df, ["signup_date"])
     return df.withColumn("name", strip_space(F.col("name")))
 
@@ -43,10 +43,14 @@ def clean_products(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def clean_orders(
-    df: DataFrame, customers: DataFrame, order: Sequence[str], last_day: date = LAST_DAY
+    df: DataFrame,
+    customers: DataFrame,
+    order: Sequence[str],
+    last_day: date = LAST_DAY,
+    formats: tuple[str, ...] = DATE_FORMATS,
 ) -> DataFrame:
     df = clean.keep_first(df, ["order_id"], order)
-    df = df.withColumn("order_date", tolerant_date(F.col("order_date")))
+    df = df.withColumn("order_date", tolerant_date(F.col("order_date"), formats))
     df = clean.keep_until(df, "order_date", last_day)
     df = clean.keep_allowed(df, "status", schemas.ORDER_STATUSES)
     return clean.keep_known(df, customers, "customer_id")
@@ -80,10 +84,10 @@ class CleanShop(NamedTuple):
     audit: DataFrame
 
 
-def clean_shop(
+def clean_tables(
     raw: RawShop, arrival: dict[str, Sequence[str]], item_keys: Sequence[str], last_day: date = LAST_DAY
-) -> CleanShop:
-    """All four tables, each stored once since later tables are checked against earlier ones.
+) -> RawShop:
+    """All four tables, each later one checked against the earlier ones, which are stored; items are left to the caller.
 
     ``arrival`` maps each table name to its arrival order.
     """
@@ -92,7 +96,15 @@ def clean_shop(
         lambda: materialise(clean_products(raw.products, arrival["products"]), "products"),
     )
     orders = materialise(clean_orders(raw.orders, customers, arrival["orders"], last_day), "orders")
-    items = materialise(clean_items(raw.items, orders, products, item_keys, arrival["items"]), "items")
+    return RawShop(customers, products, orders, clean_items(raw.items, orders, products, item_keys, arrival["items"]))
+
+
+def clean_shop(
+    raw: RawShop, arrival: dict[str, Sequence[str]], item_keys: Sequence[str], last_day: date = LAST_DAY
+) -> CleanShop:
+    """``clean_tables`` with the items stored, orders left without items removed, and the audit of all steps."""
+    customers, products, orders, items = clean_tables(raw, arrival, item_keys, last_day)
+    items = materialise(items, "items")
     sold = materialise(clean.keep_parents_with_children(orders, items, "order_id"), "orders")
     audit = profile.step_audit(
         [

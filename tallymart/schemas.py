@@ -1,18 +1,6 @@
 """Schemas of the entities, as DDL text for ``spark.read.schema``."""
 
 # Column names, types and defaults of the shop's tables and feeds.
-CUSTOMERS_V1 = (
-    "customer_id int, first_name string, last_name string, email string, city string, state string, "
-    "join_date date, is_premium boolean"
-)
-PRODUCTS_V1 = (
-    "product_id int, product_name string, category string, brand string, unit_price decimal(10,2), stock_qty int"
-)
-ORDERS_V1 = "order_id int, customer_id int, order_date date, status string, total_amount decimal(12,2)"
-ORDER_ITEMS_V1 = (
-    "item_id int, order_id int, product_id int, quantity int, unit_price decimal(10,2), discount_pct decimal(5,2)"
-)
-
 CUSTOMERS_RAW = (
     "customer_id int, name string, email string, country string, signup_date string, segment string"
 )
@@ -35,19 +23,11 @@ LOAD_COLUMNS = {
     "order_items": ["order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total"],
 }
 
-FLAT_SALES = (
-    "row_id int, order_id string, order_date string, ship_date string, ship_mode string, customer_id string, "
-    "customer_name string, segment string, country string, city string, state string, postal_code int, "
-    "region string, product_id string, category string, sub_category string, product_name string, "
-    "sales decimal(10,2), quantity int, discount decimal(5,2), profit decimal(10,2)"
-)
-
 ORDERS_V3 = (
     "order_id int, user_id int, product_id string, category string, product_name string, base_price double, "
     "price string, amount double, quantity int, region string, priority string, status string, order_date string"
 )
 
 ORDER_STATUSES = ("completed", "cancelled", "returned", "pending")
-SEGMENTS = ("Regular", "Premium", "VIP")
 DEFAULT_COUNTRY = "Unknown"
 DEFAULT_CATEGORY = "Uncategorized"

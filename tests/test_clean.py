@@ -1,4 +1,5 @@
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ def test_same_ignoring_case(spark):
 
 
 def test_tolerant_dates(spark):
-    raw = ["2099-13-45", "2030-01-01", "", "2024-02-29", "2023-02-29", "4/24/2017", "12/3/2016", None, "soon"]
+    raw = ["2099-13-45", "2030-01-01", "", "2024-02-29", "2023-02-29", "4/24/2017", "12/3/2016", None, "soon", "11-08-2016", "31-02-2016"]
     assert column(spark, raw, "string", dates.tolerant_date) == [
         None,
         date(2030, 1, 1),
@@ -45,9 +46,23 @@ def test_tolerant_dates(spark):
         date(2016, 12, 3),
         None,
         None,
+        date(2016, 8, 11),
+        None,
     ]
 
 
+def test_the_cleaners_take_other_date_formats(spark):
+    raw = spark.createDataFrame([(1, "a@x", "CA", "2024.02.29", "Ann")], "customer_id int, email string, country string, signup_date string, name string")
+    assert shop_cleaning.clean_customers(raw, ["customer_id"]).isEmpty()
+    assert shop_cleaning.clean_customers(raw, ["customer_id"], ("yyyy.MM.dd",)).first().signup_date == date(2024, 2, 29)
+
+
+def test_the_median_keeps_the_type_of_its_column(spark):
+    df = spark.sql("select cast(v as decimal(10,2)) v from values (1.10), (null), (2.30) t(v)")
+    filled = clean.fill_median(df, "v")
+    assert filled.schema == df.schema and rows(filled) == [(Decimal("1.10"),), (Decimal("1.70"),), (Decimal("2.30"),)]
+
+
 def test_tolerant_numbers(spark):
     raw = ["1.5", " 2 ", "abc", "", "NaN", None, "-3"]
     assert column(spark, raw, "string", dates.tolerant_number) == [1.5, 2.0, None, None, None, None, -3.0]
@@ -238,7 +253,6 @@ def test_deals(spark):
 
 
 def test_mean_divides_once(spark):
-    from decimal import Decimal
 
     from tallymart.functions import money
 
