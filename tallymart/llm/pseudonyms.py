@@ -1,7 +1,7 @@
 """Private data replaced by format-preserving pseudonyms.
 
 What looks like private data is checked (card numbers by their check digit, account numbers modulo 97,
-dates by the calendar, addresses and phone numbers by their ranges). A valid value is a number within
+dates by the calendar, network addresses by their ranges); every number in a phone format counts. A valid value is a number within
 the set of all valid values of its format; a keyed Feistel network permutes that set, and the image is
 written in the same format. Equal values get equal pseudonyms in every document and every run with the
 same key, also where only the separators differ; different values get different ones.
@@ -207,14 +207,15 @@ class Pseudonyms:
         a, g, s = self._place("ssn", [898, 99, 9999], [area - 1 - (area > 666), group - 1, serial - 1])
         return f"{a + 1 + (a >= 665):03d}-{g + 1:02d}-{s + 1:04d}"
 
-    def phone(self, m: re.Match) -> str | None:
+    def phone(self, m: re.Match) -> str:
         digits = _digits(m.group())
         lead, digits = digits[:-10], digits[-10:]
         area, exchange, line = int(digits[:3]), int(digits[3:6]), int(digits[6:])
-        if area < 200 or exchange < 200:
-            return None
-        a, e, n = self._place("phone", [800, 800, 10_000], [area - 200, exchange - 200, line])
-        return _refill(m.group(), f"{lead}{a + 200}{e + 200}{n:04d}")
+        # below 200 no area code or exchange is given out; what is written so keeps to that
+        from_a, from_e = 200 * (area >= 200), 200 * (exchange >= 200)
+        tweak = "phone" if from_a and from_e else f"phone|{from_a}|{from_e}"
+        a, e, n = self._place(tweak, [800 if from_a else 200, 800 if from_e else 200, 10_000], [area - from_a, exchange - from_e, line])
+        return _refill(m.group(), f"{lead}{a + from_a:03d}{e + from_e:03d}{n:04d}")
 
     def abroad(self, m: re.Match) -> str | None:
         digits, land = _digits(m.group()), m["land"]

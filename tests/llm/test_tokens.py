@@ -185,6 +185,19 @@ def test_formats_and_links():
     assert pseudonyms.Pseudonyms(b"other").replace("10.0.0.1")[0] != names.replace("10.0.0.1")[0]
 
 
+def test_phones_of_every_area():
+    names = pseudonyms.Pseudonyms(b"k")
+    given = ["+1 (017) 555-7713", "+1 (132) 555-1352", "389-099-5010", "000 000 0000", "(199) 199-9999", "+1 (389) 555-5010"]
+    for phone in given:
+        text, found = names.replace(f"call {phone}.")
+        new = found[0]["pseudonym"]
+        assert [f["kind"] for f in found] == ["phone"] and text == f"call {new}." and new != phone
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", phone)
+        old, changed = (re.sub(r"\D", "", p)[-10:] for p in (phone, new))
+        assert (old[0] < "2", old[3] < "2") == (changed[0] < "2", changed[3] < "2")
+    assert len({names.replace(p)[0] for p in given}) == len(given)
+
+
 def test_pseudonymised_documents(awkward, nothing):
     old = {(r.doc_id, r.text) for r in awkward.collect()}
     new = pseudonyms.pseudonymise(awkward, b"k")
