@@ -13,6 +13,7 @@ import functools
 import hashlib
 import math
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from datetime import date, timedelta
@@ -66,8 +67,23 @@ def permute(key: bytes, tweak: str, n: int, x: int, back: bool = False) -> int:
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 HEX_DIGITS = "0123456789abcdef"
+
+
+def _marks() -> str:
+    """The combining marks of the basic plane as ranges of a character class: part of a letter, but not of ``\\w``."""
+    ranges: list[list[int]] = []
+    for c in range(0x300, 0x10000):
+        if unicodedata.category(chr(c))[0] == "M":
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
+
+
+MARKS = _marks()
 PATTERNS = {
-    "email": r"(?<![\w.%+-])(?P<local>[A-Za-z0-9._%+-]{1,64})@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
+    "email": rf"(?<![\w{MARKS}.%+-])(?P<local>[\w{MARKS}.%+-]{{1,64}})@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "password": r"(?i:(?<![a-z])(?:password|passwd|pwd)\s?[=:]\s?)(?P<secret>[^\s\"',;]{4,64})",
     "token": r"(?<![A-Za-z0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![A-Za-z0-9])",
@@ -80,7 +96,14 @@ PATTERNS = {
     "abroad": r"(?<![\d+])\+(?P<land>[2-9]\d{0,2})(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![.-]?\d)",
 }
+KINDS = list(PATTERNS)
+# digits of other scripts are in none of these formats
+PATTERNS |= {kind: f"(?a:{PATTERNS[kind]})" for kind in KINDS if kind not in ("email", "password")}
 ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
+READ = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
+# groups of digits that the card pattern may join, and how the groups of a card are written, likeliest first
+RUN, GROUP, DECIMAL = re.compile(r"[0-9]+(?:[ -][0-9]+)*"), re.compile("[0-9]+"), re.compile(r"\.[0-9]")
+CARD_FORMS = [re.compile(p) for p in (r"\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{4,5}|\d{13,19}", r"\d{4}([ -])\d{3}\1\d{3}\1\d{3}|(?:\d{4,}[ -])+\d{3,}")]
 # nothing of the above without one of these
 TRIGGER = "[0-9@]|AKIA|ASIA|(?i:password|passwd|pwd)"
 
@@ -94,6 +117,13 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+@functools.lru_cache(1000)
+def _alike(page: int, lower: bool, upper: bool) -> str:
+    """The letters and digits of 256 code points that are of one case."""
+    chars = map(chr, range(page << 8, page + 1 << 8))
+    return "".join(c for c in chars if c.isalnum() and (c.islower(), c.isupper()) == (lower, upper))
+
+
 def iban_number(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4]))
 
@@ -147,7 +177,10 @@ class Pseudonyms:
         local, host = m["local"], m["host"]
         if not any(c.isalnum() for c in local):
             return None
-        return f"{self._letters('email|' + host.lower(), local)}@{host}"
+        others = dict.fromkeys(_alike(ord(c) >> 8, c.islower(), c.isupper()) for c in local if c.isalnum() and not c.isascii())
+        # letters of other scripts stay among those of their page and case, without the ASCII ones
+        sets = (LOWER, UPPER, DIGITS, *("".join(c for c in s if not c.isascii()) for s in sorted(others)))
+        return f"{self._letters('email|' + host.lower(), local, sets)}@{host}"
 
     def access_key(self, m: re.Match) -> str:
         text = m.group()
@@ -235,17 +268,82 @@ class Pseudonyms:
         head = f"{digits[0]}{new:0{len(free)}d}"
         return _refill(m.group(), head + luhn_digit(head))
 
+    def _card_within(self, text: str, here: re.Match, to: int, loose: bool) -> tuple[int, int, str] | None:
+        """Start, end and pseudonym of the likeliest card among the groups of a card match and those that follow it.
+
+        Parts of the match have to be grouped as cards are; all of it may be in any groups if ``loose``.
+        """
+        start, end = here.span()
+        groups = [g.span() for g in GROUP.finditer(text, start, RUN.match(text, start, min(to, end + 20)).end())]
+        best = None
+        for i, (a, z) in enumerate(groups):
+            if a >= end:
+                break
+            whole = loose and a == start
+            if z - a < 4 and not whole:
+                continue
+            n = 0
+            for first, b in groups[i:]:
+                n += b - first
+                if n > 19:
+                    break
+                if n < 13 or b > end and (text[b : b + 1].isdigit() or DECIMAL.match(text, b, to)):
+                    continue
+                rank = next((k for k, form in enumerate(CARD_FORMS) if form.fullmatch(text, a, b)), len(CARD_FORMS))
+                if rank == len(CARD_FORMS) and not (whole and b == end):
+                    continue
+                new = self.card(READ["card"].fullmatch(text[a:b]))
+                if new is not None and (best is None or (rank, -n) < best[0]):
+                    best = (rank, -n), (a, b, new)
+        return best and best[1]
+
+    def _shorter(self, kind: str, text: str, here: re.Match, to: int) -> tuple[int, int, str] | None:
+        """The longest valid form of a match that ends before one of its groups, and before a card."""
+        start, end = here.span()
+        if kind == "abroad" and (digits := GROUP.search(text, start)):
+            for group in GROUP.finditer(text, digits.end(), end):
+                card = READ["card"].match(text, group.start(), to)
+                if card and (found := self._card_within(text, card, to, False)):
+                    end = min(end, found[0])
+        for b in range(end - 1, start, -1):
+            if text[b] in " .-" and (m := READ[kind].fullmatch(text, start, b)) and (new := getattr(self, kind)(m)) is not None:
+                return start, b, new
+        return None
+
+    def _find(self, text: str, at: int, to: int) -> Iterator[tuple[str, int, int, str]]:
+        """Kind, start, end and pseudonym of what is valid from ``at`` to ``to``.
+
+        Where a match is not valid, other kinds and shorter forms at its place are tried, then the next places.
+        """
+        failed = at  # the end of the card matches that were not valid
+        while m := ANY.search(text, at, to):
+            start = m.start()
+            at = start + 1
+            first = next(k for k, kind in enumerate(KINDS) if m[kind] is not None)
+            for kind in KINDS[first:]:
+                here = m if kind == KINDS[first] else READ[kind].match(text, start, to)
+                if not here:
+                    continue
+                if kind == "card":
+                    found = self._card_within(text, here, to, start >= failed)
+                    failed = max(failed, here.end())
+                else:
+                    new = getattr(self, kind)(here)
+                    found = (*here.span(), new) if new is not None else self._shorter(kind, text, here, to) if kind in ("iban", "abroad") else None
+                if found:
+                    if found[0] > start:
+                        yield from self._find(text, at, found[0])
+                    yield kind, *found
+                    at = found[1]
+                    break
+
     def replace(self, text: str) -> tuple[str, list[dict]]:
         """``text`` with pseudonyms, and what was replaced: kind, pseudonym, start and end in the new text."""
         out, found, at, shift = [], [], 0, 0
-        for m in ANY.finditer(text):
-            kind = m.lastgroup if m.lastgroup in PATTERNS else next(k for k in PATTERNS if m[k] is not None)
-            new = getattr(self, kind)(m)
-            if new is None:
-                continue
-            out += [text[at : m.start()], new]
-            at, start = m.end(), m.start() + shift
-            shift += len(new) - len(m.group())
+        for kind, begin, end, new in self._find(text, 0, len(text)):
+            out += [text[at:begin], new]
+            at, start = end, begin + shift
+            shift += len(new) - (end - begin)
             found.append({"kind": kind, "pseudonym": new, "start": start, "end": start + len(new)})
         return "".join([*out, text[at:]]) if found else text, found
 
