@@ -5,7 +5,8 @@ parts ``( )?`` and repeated parts ``( )+``. It starts as a host's first page and
 after the other. Runs of equal siblings, or of equal short sequences of siblings, fold into repeated groups;
 where token streams differ, what only one side has becomes optional; where texts differ, a slot remains.
 Wrappers of parts of a host's pages are aligned in the same way, so a host of any size is inferred in
-parallel. What is main text is then decided once per wrapper, and pages are read along it.
+parallel. What is main text is then decided once per wrapper and kind of main part, and every page is read
+along it by the best kind of main part that the page has.
 """
 
 from __future__ import annotations
@@ -272,40 +273,44 @@ def _is_not_text(sign: str) -> bool:
 
 
 def decide(wrapper: dict, pages: int) -> dict:
-    """Mark what of a wrapper is main text: adds k to nodes, 1 keep, 0 leave out.
+    """Mark what of a wrapper is main text: adds k to nodes, a bit per rank of the main part, set to keep.
 
-    The main part is the articles, else the main element, else what is named like it, else the whole body; in
-    the last case, texts that are the same on all of three or more pages are the host's, not the page's.
+    A page's main part is its articles, else its main element, else what is named like it, else the whole body;
+    in the last case, texts that are the same on all of three or more pages are the host's, not the page's.
     """
-    best = _best_main(wrapper, True)
 
-    def mark(node: dict, inside: bool, header: bool, repeated: int) -> None:
+    def mark(node: dict, best: int, inside: bool, header: bool) -> None:
         if node["s"] == "#":
             constant = best == 0 and pages >= 3 and node["c"] is not None
-            node["k"] = int(inside and not header and not constant)
+            node["k"] = node.get("k", 0) | int(inside and not header and not constant) << best
             return
         group = node["s"].startswith("( ")
         tag = "" if group else node["s"].split(" ")[0]
         rank = 0 if group else _is_main(node["s"])
         if not group and _is_not_text(node["s"]) or (inside and tag in ("ul", "ol", "div", "p") and _all_links(node)):
-            node["k"] = 0
             return
-        node["k"] = 1
+        node["k"] = node.get("k", 0) | 1 << best
         inside = inside or (best > 0 and rank == best) or (best == 0 and tag in ("body", ""))
         # of a header only headings belong to the article; outside of it, nothing
         header = (header or tag == "header") and tag not in HEADINGS
-        for _, many, child in node["i"]:
-            mark(child, inside, header, many)
+        for _, _, child in node["i"]:
+            mark(child, best, inside, header)
 
-    mark(wrapper, False, False, 0)
+    wrapper["ranks"] = sorted({0, *_main_ranks(wrapper)}, reverse=True)
+    for best in wrapper["ranks"]:
+        mark(wrapper, best, False, False)
     return wrapper
 
 
-def _best_main(node: dict, outside: bool) -> int:
-    if node["s"] == "#" or (not node["s"].startswith("( ") and _is_not_text(node["s"])):
-        return 0
-    own = 0 if node["s"].startswith("( ") else _is_main(node["s"])
-    return max([own if node["t"] else 0, *(_best_main(c, outside) for _, _, c in node["i"])])
+def _main_ranks(node: dict) -> Iterator[int]:
+    """The ranks of the main parts with text, on any of the pages."""
+    group = node["s"].startswith("( ")
+    if node["s"] == "#" or not group and _is_not_text(node["s"]):
+        return
+    if node["t"] and not group:
+        yield _is_main(node["s"])
+    for _, _, child in node["i"]:
+        yield from _main_ranks(child)
 
 
 def _all_links(node: dict) -> bool:
@@ -314,7 +319,12 @@ def _all_links(node: dict) -> bool:
 
 
 def extract(page: Element, wrapper: dict) -> str:
-    """The main text of a page read along its decided wrapper: one line per block."""
+    """The main text of a page read along its decided wrapper: that of the best main part in which this page has text."""
+    return next(filter(None, (_extract(page, wrapper, 1 << rank) for rank in wrapper["ranks"])), "")
+
+
+def _extract(page: Element, wrapper: dict, bit: int) -> str:
+    """What a page has in the nodes marked with ``bit``: one line per block."""
     lines, line = [], []
 
     def end() -> None:
@@ -331,7 +341,7 @@ def extract(page: Element, wrapper: dict) -> str:
                 known.setdefault(child["s"], []).append(child)
         for part in element.parts:
             if isinstance(part, str):
-                if any(n["k"] for n in known.get("#", ())):
+                if any(n.get("k", 0) & bit for n in known.get("#", ())):
                     line.append(html.unescape(part))
                 elif not part.strip():
                     line.append(part)
@@ -341,7 +351,7 @@ def extract(page: Element, wrapper: dict) -> str:
                 if part.tag == "hr":
                     end()
                 continue
-            kept = [n for n in known.get(part.sign, ()) if n["k"]]
+            kept = [n for n in known.get(part.sign, ()) if n.get("k", 0) & bit]
             block = part.tag in BLOCKS
             if block:
                 end()

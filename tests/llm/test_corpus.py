@@ -91,6 +91,14 @@ def test_main_text(spark):
     assert [found[k].text for k in (50, 51, 52, 53)] == ["Just a text", "", "", "deep"]
 
 
+def test_main_text_of_mixed_templates(spark):
+    forms = ["<nav>N</nav><article><p>text {k}</p></article>", "<main><p>text {k}</p></main>", "<div class=content><p>text {k}</p></div>", "<p>text {k}</p>", "<article> <img></article><p>text {k}</p>"]
+    for url in ("https://mixed.example.org/", None):
+        pages = [(k, url, f"<html><body>{forms[k % len(forms)].format(k=k)}<footer>F</footer></body></html>") for k in range(15)]
+        found = wrappers.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+        assert {r.page_id: r.text for r in found} == {k: f"text {k}" for k in range(15)}
+
+
 def test_wrappers_align():
     one = wrappers.wrapper_of(wrappers.parse("<ul><li>a<li>b</ul><p>x</p>"))
     two = wrappers.wrapper_of(wrappers.parse("<ul><li>c</ul><h2>t</h2><p>x</p>"))
