@@ -50,6 +50,7 @@ NOT_TEXT_NAMES = set(
 MAIN_NAMES = set("article content post entry story main body text maincontent".split())
 PERIODS = 4
 LINK_SHARE = 0.8
+NEARLY_ALL = 0.9
 MOST_DEEP = 100  # deeper elements are read as parts of the one at this depth, as browsers do at theirs
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[a-zA-Z/][^<>]*(?:>|\Z)", re.S)
@@ -134,11 +135,12 @@ def parse(page: str) -> Element:
 
 
 # A wrapper node is a dict: s sign, i items, and for texts (sign "#") c the constant or None for a slot.
-# An item is [optional, repeated, node]. t and a count the characters of texts, and of those in links.
+# An item is [optional, repeated, node]. t and a count the characters of texts, and of those in links; n the pages
+# that hold the constant, or fewer where it stands on a page several times.
 
 
 def _leaf(text: str, in_link: bool) -> dict:
-    return {"s": "#", "c": text, "t": len(text), "a": len(text) if in_link else 0}
+    return {"s": "#", "c": text, "n": 1, "t": len(text), "a": len(text) if in_link else 0}
 
 
 def wrapper_of(element: Element, in_link: bool = False) -> dict:
@@ -175,7 +177,7 @@ def _fold(items: list) -> list:
                 continue
             group = items[k : k + period]
             for at in range(k + period, end, period):
-                group = [[a[0] or b[0], a[1] or b[1], align(a[2], b[2])] for a, b in zip(group, items[at : at + period], strict=True)]
+                group = [[a[0] or b[0], a[1] or b[1], align(a[2], b[2], True)] for a, b in zip(group, items[at : at + period], strict=True)]
             if period == 1:
                 out.append([group[0][0], 1, group[0][2]])
             else:
@@ -185,15 +187,17 @@ def _fold(items: list) -> list:
     return items
 
 
-def align(left: dict, right: dict) -> dict:
-    """The wrapper that both of two wrappers of the same sign match."""
+def align(left: dict, right: dict, one_page: bool = False) -> dict:
+    """The wrapper that both of two wrappers of the same sign match, which are of different pages or of ``one_page``."""
     both = {"t": left["t"] + right["t"], "a": left["a"] + right["a"]}
     if left["s"] == "#":
-        return {"s": "#", "c": left["c"] if left["c"] == right["c"] else None, **both}
-    return {"s": left["s"], "i": _align_items(left["i"], right["i"]), **both}
+        if left["c"] is None or left["c"] != right["c"]:
+            return {"s": "#", "c": None, "n": 0, **both}
+        return {"s": "#", "c": left["c"], "n": max(left["n"], right["n"]) if one_page else left["n"] + right["n"], **both}
+    return {"s": left["s"], "i": _align_items(left["i"], right["i"], one_page), **both}
 
 
-def _align_items(left: list, right: list) -> list:
+def _align_items(left: list, right: list, one_page: bool) -> list:
     a, b = [x[2]["s"] for x in left], [x[2]["s"] for x in right]
     if a == b:
         pairs = list(zip(range(len(a)), range(len(b)), strict=True))
@@ -211,24 +215,29 @@ def _align_items(left: list, right: list) -> list:
                 i += 1
             else:
                 j += 1
-    out, i, j = [], 0, 0
+    out, sides, i, j = [], [], 0, 0
     for p, q in [*pairs, (len(a), len(b))]:
         out += [[1, m, node] for _, m, node in left[i:p]] + [[1, m, node] for _, m, node in right[j:q]]
+        sides += [1] * (p - i) + [2] * (q - j)
         if p < len(a):
-            out.append([left[p][0] or right[q][0], left[p][1] or right[q][1], align(left[p][2], right[q][2])])
+            out.append([left[p][0] or right[q][0], left[p][1] or right[q][1], align(left[p][2], right[q][2], one_page)])
+            sides.append(3)
         i, j = p + 1, q + 1
     # what was optional on both sides may stand side by side again
-    return _fold_optional(out)
+    return _fold_optional(out, [3] * len(out) if one_page else sides)
 
 
-def _fold_optional(items: list) -> list:
-    out = []
-    for item in items:
+def _fold_optional(items: list, sides: list[int]) -> list:
+    """``sides`` says for each item whether it is of the left pages (1), the right (2) or both (3)."""
+    out, of = [], []
+    for item, side in zip(items, sides, strict=True):
         if out and out[-1][2]["s"] == item[2]["s"] and (out[-1][0] or item[0]):
             last = out[-1]
-            out[-1] = [last[0] and item[0], 1 if item[2]["s"] != "#" else 0, align(last[2], item[2])]
+            out[-1] = [last[0] and item[0], 1 if item[2]["s"] != "#" else 0, align(last[2], item[2], bool(of[-1] & side))]
+            of[-1] |= side
         else:
             out.append(item)
+            of.append(side)
     return out
 
 
@@ -276,12 +285,12 @@ def decide(wrapper: dict, pages: int) -> dict:
     """Mark what of a wrapper is main text: adds k to nodes, a bit per rank of the main part, set to keep.
 
     A page's main part is its articles, else its main element, else what is named like it, else the whole body;
-    in the last case, texts that are the same on all of three or more pages are the host's, not the page's.
+    in the last case, texts that are the same on three or more pages, and on nearly all, are the host's, not the page's.
     """
 
     def mark(node: dict, best: int, inside: bool, header: bool) -> None:
         if node["s"] == "#":
-            constant = best == 0 and pages >= 3 and node["c"] is not None
+            constant = best == 0 and node["c"] is not None and node["n"] >= max(3, NEARLY_ALL * pages)
             node["k"] = node.get("k", 0) | int(inside and not header and not constant) << best
             return
         group = node["s"].startswith("( ")
@@ -408,7 +417,7 @@ def infer_wrappers(pages: DataFrame, parts: int = 32) -> DataFrame:
         for run in slices(batches, "html", 32 << 20):
             held: dict[str, list] = {}
             for host, page in zip(run.column("host").to_pylist(), run.column("html").to_pylist(), strict=True):
-                _absorb(held, host, wrapper_of(parse(page or "")), 1)
+                _absorb(held, host, wrapper_of(parse(page or "")), int(bool(page and not page.isspace())))
             yield _rows(held, part)
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -99,6 +99,16 @@ def test_main_text_of_mixed_templates(spark):
         assert {r.page_id: r.text for r in found} == {k: f"text {k}" for k in range(15)}
 
 
+def test_text_of_one_page_is_not_the_hosts(spark):
+    once = {2: "<blockquote>quoted</blockquote>", 4: "<table><tr><td>cell</table>", 6: "<h3>Part</h3>", 7: "<p class=note>noted</p>"}
+    pages = [(k, "https://plain.example.org/", f"<html><body><p>text {k}</p>{once.get(k, '')}<div>All rights</div></body></html>") for k in range(12)]
+    pages += [(12, "https://plain.example.org/", None), (13, "https://plain.example.org/", " ")]
+    pages += [(k, "https://twice.example.org/", f"<p>text {k}</p>{'<h3>same</h3><h3>same</h3><h3>same</h3>' if k == 21 else ''}") for k in range(20, 23)]
+    found = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    more = {2: ["quoted"], 4: ["cell"], 6: ["Part"], 7: ["noted"], 21: ["same"] * 3}
+    assert found == {k: "\n".join([f"text {k}", *more.get(k, [])]) if k not in (12, 13) else "" for k in found}
+
+
 def test_wrappers_align():
     one = wrappers.wrapper_of(wrappers.parse("<ul><li>a<li>b</ul><p>x</p>"))
     two = wrappers.wrapper_of(wrappers.parse("<ul><li>c</ul><h2>t</h2><p>x</p>"))
