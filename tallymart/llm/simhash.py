@@ -7,6 +7,10 @@ The share of bits that differ between two fingerprints grows with the angle of t
 To find fingerprints within a Hamming radius, the bits are cut into blocks. Two fingerprints that differ in
 at most ``radius`` bits agree in at least ``blocks - radius`` blocks, so one table per choice of that many
 blocks, keyed by their bits, holds every such pair; the exact distance decides.
+
+Real near copies lie farther apart than copies with one edit. For these, each of ``WIDE_BLOCKS`` blocks is one
+table, and a query also asks for the keys with one bit of its block changed: two fingerprints that differ in
+fewer than twice as many bits as there are blocks differ in at most one bit of some block.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from tallymart.llm.shared import id_and_text, mix64, slices, window_hashes, word
 from tallymart.session import materialise, tune
 
 BITS = 128
+WIDE_BLOCKS = 8
+WIDE_RADIUS = 2 * WIDE_BLOCKS - 1
 STEP = 1 << 18  # terms whose bits are unpacked at a time
 
 
@@ -176,9 +182,43 @@ def near_counts(prints: DataFrame, queries: Column, tables: BlockTables = BlockT
     return picked.join(near, picked["fingerprint"] == near["q"]).select("doc_id", (F.col("n") - 1).alias("n_near"))
 
 
+def near_classes(prints: DataFrame, queries: Column) -> DataFrame:
+    """Per fingerprint q of a document that ``queries`` picks: the fingerprints within ``WIDE_RADIUS``, q among them.
+
+    Columns q, fingerprint, distance and n, the number of rows of ``prints`` that have the fingerprint.
+    """
+    tune(prints.sparkSession)
+    width = BITS // WIDE_BLOCKS
+    classes = prints.groupBy("fingerprint").agg(F.count("*").alias("n"), F.max(queries.cast("int")).alias("asked"))
+    block = [F.conv(F.substring("fingerprint", width // 4 * k + 1, width // 4), 16, 10).cast("int") for k in range(WIDE_BLOCKS)]
+    classes = materialise(classes.select("*", *(b.alias(f"b{k}") for k, b in enumerate(block))), "wide-classes")
+    theirs = [f"b{k}" for k in range(WIDE_BLOCKS)]
+    ours = [f"q{k}" for k in range(WIDE_BLOCKS)]
+    asked = classes.filter("asked = 1").select(F.col("fingerprint").alias("q"), *(F.col(b).alias(q) for b, q in zip(theirs, ours, strict=True)))
+    asked = asked.select("*", F.posexplode(F.array(*ours)).alias("t", "block"))
+    asked = asked.select("q", *ours, "t", F.explode(F.array(*(F.lit(m) for m in (0, *(1 << k for k in range(width)))))).alias("m"), "block")
+    asked = asked.withColumn("key", F.col("block").bitwiseXOR(F.col("m"))).drop("m", "block")
+    entries = classes.select("fingerprint", "n", *theirs, F.posexplode(F.array(*theirs)).alias("t", "key"))
+    differ = [F.bit_count(F.col(b).bitwiseXOR(F.col(q))) for b, q in zip(theirs, ours, strict=True)]
+    # a pair may meet in several tables and counts in the first
+    first = F.coalesce(*(F.when(d <= 1, k) for k, d in enumerate(differ)))
+    met = asked.join(entries, ["t", "key"]).filter(F.col("t") == first)
+    return met.select("q", "fingerprint", sum(differ[1:], differ[0]).cast("int").alias("distance"), "n").filter(F.col("distance") <= WIDE_RADIUS)
+
+
 def fingerprint_report(docs: DataFrame, every: int = 20, tables: BlockTables = BlockTables(), **columns: str) -> DataFrame:
-    """``fingerprint_pairs`` with ``n_near``: for every id divisible by ``every`` the other documents within the radius."""
+    """``fingerprint_pairs`` with ``n_near`` and ``near`` for every id divisible by ``every``.
+
+    ``n_near`` counts the other documents within the radius of ``tables``. ``near`` lists the fingerprints within
+    ``WIDE_RADIUS``, nearest first, each with its distance and its number of documents, the row's own included;
+    the documents of a class are the rows with its fingerprint.
+    """
     prints = materialise(fingerprint_pairs(docs, **columns), "prints")
     asked = F.coalesce(F.col("doc_id") % every == 0, F.lit(False))
     near = near_counts(prints.select("doc_id", "fingerprint"), asked, tables).groupBy("doc_id").agg(F.max("n_near").alias("n_near"))
-    return prints.join(near, "doc_id", "left")
+    pairs = near_classes(prints.select("doc_id", "fingerprint"), asked)
+    lists = pairs.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("distance", "fingerprint", F.col("n").alias("n_docs")))).alias("near"))
+    picked = prints.filter(asked).select(F.col("doc_id").alias("id"), F.col("fingerprint").alias("own_print")).distinct()
+    wide = picked.join(lists, picked["own_print"] == lists["q"]).drop("q")
+    counted = prints.join(near, "doc_id", "left")
+    return counted.join(wide, (counted["doc_id"] == wide["id"]) & (counted["fingerprint"] == wide["own_print"]), "left").drop("id", "own_print")

@@ -130,6 +130,29 @@ def test_fingerprints(awkward, small):
                     assert r.n_near == near
 
 
+def test_near_fingerprint_classes(spark):
+    r = random.Random(7)
+    words = [f"w{k}" for k in range(5000)]
+    texts = [" ".join(r.choice(words) for _ in range(200)) for _ in range(30)]
+    for k in range(0, 30, 2):  # near copies with one to eight words replaced, and copies of those
+        some = texts[k].split()
+        for at in r.sample(range(200), 1 + k // 4):
+            some[at] = "other"
+        texts += [" ".join(some)] * 2
+    rows = simhash.fingerprint_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), every=2).collect()
+    prints = {x.doc_id: np.frombuffer(bytes.fromhex(x.fingerprint), np.uint8) for x in rows}
+    counts = collections.Counter(x.fingerprint for x in rows)
+    wider = 0
+    for x in rows:
+        if x.doc_id % 2:
+            assert x.near is None
+            continue
+        far = {y.fingerprint: int(np.bitwise_count(prints[x.doc_id] ^ prints[y.doc_id]).sum()) for y in rows}
+        assert [tuple(c) for c in x.near] == sorted((d, f, counts[f]) for f, d in far.items() if d <= 15)
+        wider += sum(3 < c.distance for c in x.near)
+    assert wider > 10
+
+
 def longest_by_brute_force(codes, shortest):
     out = []
     for i in range(len(codes)):
