@@ -169,11 +169,15 @@ def link_members(members: DataFrame, rule: JoinRule) -> DataFrame:
     grouping = members.groupBy("n", "prefix").agg(F.min("doc").alias("lead"), F.max(F.length("tokens") / 8).cast("long").alias("m"))
     groups = materialise(grouping.withColumn("grp", F.col("lead")), "groups")
     in_group = materialise(
-        members.select("doc", "n", "prefix").join(groups.select("n", "prefix", "grp"), ["n", "prefix"]).select("doc", "grp"), "in-group"
+        # alike: has enough shared tokens to link to a set of its own size, as all of its group are
+        members.select("doc", "n", "prefix", (F.length("tokens") / 8 >= rule.overlap(2 * F.col("n"))).alias("alike"))
+        .join(groups.select("n", "prefix", "grp"), ["n", "prefix"])
+        .select("doc", "grp", "alike"),
+        "in-group",
     )
     # one row per group and token of its prefix; m is the largest number of shared tokens of a member
     postings = materialise(_one_token_per_list(groups.select("grp", "n", "m", F.posexplode("prefix").alias("pos", "token"))), "postings")
-    own_lead = in_group.filter("doc <> grp").select(F.col("grp").alias("a"), F.col("doc").alias("b"))
+    own_lead = in_group.filter("doc <> grp AND alike").select(F.col("grp").alias("a"), F.col("doc").alias("b"))
     at = lambda *more: F.struct("grp", "n", "m", "pos", *more)
 
     links, labels = None, None
@@ -196,7 +200,7 @@ def link_members(members: DataFrame, rule: JoinRule) -> DataFrame:
 
     # all pairs of different components that share a token of their prefixes
     comp = F.coalesce("comp", "doc")
-    nodes = in_group.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "grp", comp.alias("comp"))
+    nodes = in_group.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "grp", "alike", comp.alias("comp"))
     spread = postings.join(nodes, "grp").select("token", at("doc", "comp").alias("x"))
     sizes = spread.groupBy("token", F.col("x.comp").alias("comp")).agg(F.count("*").alias("c"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
@@ -213,8 +217,9 @@ def link_members(members: DataFrame, rule: JoinRule) -> DataFrame:
     )
     pairs = meet.select(F.least("p.doc", "q.doc").alias("a"), F.greatest("p.doc", "q.doc").alias("b")).distinct()
     # within a group, those that do not link to its lead
-    inner = nodes.select("grp", F.col("doc").alias("a"), F.col("comp").alias("ca")).join(nodes.groupBy("grp").agg(F.countDistinct("comp").alias("k")).filter("k > 1"), "grp")
-    same = inner.join(nodes.select("grp", F.col("doc").alias("b"), F.col("comp").alias("cb")), "grp").filter("a < b AND ca <> cb").select("a", "b")
+    alike = nodes.filter("alike")
+    inner = alike.select("grp", F.col("doc").alias("a"), F.col("comp").alias("ca")).join(alike.groupBy("grp").agg(F.countDistinct("comp").alias("k")).filter("k > 1"), "grp")
+    same = inner.join(alike.select("grp", F.col("doc").alias("b"), F.col("comp").alias("cb")), "grp").filter("a < b AND ca <> cb").select("a", "b")
     last = _verified(pairs.unionByName(same).distinct(), members, rule)
     return components(links.unionByName(last))
 

@@ -97,6 +97,16 @@ def test_family_of_near_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components_by_brute_force(rows)
 
 
+def test_template_that_cannot_link_makes_no_pairs(spark, monkeypatch):
+    verified, counts = jaccard_join._verified, []
+    monkeypatch.setattr(jaccard_join, "_verified", lambda pairs, *more: counts.append(pairs.count()) or verified(pairs, *more))
+    base = " ".join(f"w{k}" for k in range(164))  # 160 of 200 shingles are shared, 172 would have to be
+    rows = [(i, base + "".join(f" v{i}x{k}" for k in range(40))) for i in range(30)]
+    found = jaccard_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == components_by_brute_force(rows) == {i: (200, i) for i in range(30)}
+    assert counts and sum(counts) == 0, counts
+
+
 def test_components(spark):
     r = random.Random(2)
     pairs = [(r.randrange(200), r.randrange(200)) for _ in range(110)] + [(k, k + 1) for k in range(300, 340)]
