@@ -8,12 +8,13 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from tallymart import catalog
 from tallymart.operators import profile
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES = catalog.queries()  # the corpus queries are tested next to their operators
+ORACLES = catalog.oracle_sql()
 # a sample and file times have no SQL twin
 ROWS_ONLY = {"prof_sample", "src_file_audit"}
 
@@ -45,6 +46,11 @@ def test_which_queries_have_no_twin():
     assert not set(ORACLES) - set(QUERIES)
 
 
+def test_all_of_them_are_registered():
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert ORACLES.items() <= __spark_entry__.oracle_sql().items()
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql_twin(spark, duck, name):
     df = QUERIES[name](spark, SF)
