@@ -15,6 +15,7 @@ words are looked up.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import json
 from collections.abc import Iterable, Iterator
@@ -33,6 +34,7 @@ SPACE = "▁"
 BPE = 2
 
 CHUNK_CHARS = 1 << 16
+RUN_BYTES = 2 << 20  # texts encoded at a time
 BLOCK_CHUNKS = 64
 
 State = tuple[int, int]  # how far the last piece reaches beyond the cut, and that piece (-1: does not matter)
@@ -40,6 +42,9 @@ OPEN: State = (0, -1)
 Matrix = dict[State, dict[State, float]]
 
 
+codecs.register_error("replace each byte", lambda error: ("\ufffd" * (error.end - error.start), error.end))
+
+
 def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
     """Numbers and values of a protocol buffer message's fields."""
 
@@ -86,8 +91,9 @@ def combine(left: Matrix, right: Matrix) -> Matrix:
 class Pieces:
     """A SentencePiece model: its vocabulary, the lattice of a text, and best paths through it."""
 
-    MOST_WORDS = 600_000  # memory of the memo of words; it starts anew beyond that
-    MOST_PAIRS = 1_000_000
+    # bounds of the two memos of one worker; each keeps what was used last, and the generation before that
+    WORD_BYTES = 24 << 20
+    MOST_PAIRS = 150_000  # 130 bytes each
 
     def __init__(self, path: str):
         import sentencepiece
@@ -136,7 +142,11 @@ class Pieces:
         for a, b in self.joined:
             self.spans[self.char[ord(a)], self.char[ord(b)]] = True
         self.words: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.older_words: dict[str, tuple[int, ...]] = {}
+        self.word_bytes = 0
+        self.pairs: dict[int, bool] = {}  # by first * n + second
+        self.older_pairs: dict[int, bool] = {}
+        self.n = n
         # beginnings of pieces: the piece that a path may use, or -2
         self.heads = {p[:n]: -2 for p in self.ids for n in range(1, len(p))}
         self.heads |= {p: k for p, k in self.ids.items() if not self.bpe or len(p) == 1 or self._whole(k)}
@@ -161,12 +171,16 @@ class Pieces:
         """Whether a BPE encoding can have ``second`` right after ``first``; -1 stands for any other text."""
         if not self.bpe or first < 0 or second < 0:
             return True
-        known = self.pairs.get((first, second))
+        key = first * self.n + second
+        known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > self.MOST_PAIRS:
-                self.pairs.clear()
-            a, b = self.strings[first], self.strings[second]
-            known = self.pairs[first, second] = self.merged(a + b) == [a, b]
+            known = self.older_pairs.get(key)
+            if known is None:
+                a, b = self.strings[first], self.strings[second]
+                known = self.merged(a + b) == [a, b]
+            if len(self.pairs) >= self.MOST_PAIRS:
+                self.older_pairs, self.pairs = self.pairs, {}
+            self.pairs[key] = known
         return known
 
     def _steps(self, text: str, at: int, end: int) -> Iterator[tuple[int, int, float]]:
@@ -267,10 +281,11 @@ class Pieces:
         """The pieces of a text between two cuts that no piece spans."""
         known = self.words.get(text)
         if known is None:
-            known = tuple(self._short(text))
+            known = self.older_words.get(text) or tuple(self._short(text))
             if len(text) <= 64:
-                if len(self.words) > self.MOST_WORDS:
-                    self.words.clear()
+                self.word_bytes += 220 + 2 * len(text) + 8 * len(known)
+                if self.word_bytes > self.WORD_BYTES:
+                    self.older_words, self.words, self.word_bytes = self.words, {}, 0
                 self.words[text] = known
         return known
 
@@ -278,20 +293,20 @@ class Pieces:
         """Best path through a short text; in BPE a prefix has one path at most, so its last piece is all there is to keep."""
         if not self.bpe:
             return self.best(text, 0, len(text), OPEN)
-        n, heads, pairs, longest = len(text), self.heads, self.pairs, self.longest
+        n, heads, pieces, longest = len(text), self.heads, self.n, self.longest
         last, size = [-1] * (n + 1), [0] * (n + 1)
         size[0] = 1
         for at in range(n):
             if not size[at]:
                 continue
-            before, single = last[at] if at else -1, False
+            before, single, pairs = last[at] if at else -1, False, self.pairs
             for stop in range(at + 1, min(n, at + longest) + 1):
                 piece = heads.get(text[at:stop])
                 if piece is None:
                     break
                 if piece >= 0:
                     single = single or stop == at + 1
-                    good = before < 0 or pairs.get((before, piece))
+                    good = before < 0 or pairs.get(before * pieces + piece)
                     if good or good is None and self.follows(before, piece):
                         last[stop], size[stop] = piece, stop - at
             if not single:
@@ -313,8 +328,11 @@ class Pieces:
             cut[1:-1] = ~self.spans[char[:-1], char[1:]]
             cut[upto] = True
         places = np.flatnonzero(cut) if len(code) else np.zeros(1, np.int64)
-        in_bytes = np.r_[0, np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))]
-        offsets = pa.py_buffer(in_bytes[places].astype(np.int64))
+        width = np.ones(len(code) + 1, np.uint8)
+        width[0] = 0
+        for more in (0x7F, 0x7FF, 0xFFFF):
+            width[1:] += code > more
+        offsets = pa.py_buffer(np.cumsum(width, dtype=np.int64)[places])
         parts = pa.Array.from_buffers(pa.large_string(), len(places) - 1, [None, offsets, pa.py_buffer(data.encode())])
         return parts, np.searchsorted(places, upto)
 
@@ -335,16 +353,16 @@ class Pieces:
         return ranges(pool, (np.cumsum(sizes) - sizes)[codes], n), np.r_[0, np.cumsum(n)][first]
 
     def decode(self, ids: np.ndarray, first: np.ndarray) -> pa.Array:
-        """The texts of lists of ids laid end to end; bytes that are no UTF-8 become replacement characters."""
+        """The texts of lists of ids laid end to end; every byte that is no UTF-8 becomes a replacement character."""
         sizes = self.pool_size[ids]
         data = ranges(self.pool, self.pool_start[ids], sizes)
         ends = np.r_[0, np.cumsum(sizes)][first]
         cut = ends[:-1].copy()
         if self.prefix:  # the space that encoding puts first
             some = np.flatnonzero(ends[1:] > ends[:-1])
-            cut[some] += data[ends[:-1][some]] == 0x20
+            cut[some] += (data[ends[:-1][some]] == 0x20) & (ids[first[:-1][some]] != self.bytes[0x20])
         raw = data.tobytes()
-        return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(cut.tolist(), ends[1:].tolist(), strict=True)], pa.string())
+        return pa.array([raw[a:b].decode("utf-8", "replace each byte") for a, b in zip(cut.tolist(), ends[1:].tolist(), strict=True)], pa.string())
 
     # chunks of a giant text
 
@@ -503,13 +521,13 @@ def encode_documents(docs: DataFrame, model_path: str, chunk_chars: int = CHUNK_
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
-        for part in slices(batches, "text", 16 << 20):
+        for part in slices(batches, "text", RUN_BYTES):
             ids, first = model.encode(part.column("text"))
             yield _encoded(part.column("doc_id"), ids, first, model.decode(ids, first))
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path)
-        for batch in batches:
+        for batch in (b.slice(k, 16) for b in batches for k in range(0, b.num_rows, 16)):  # long texts
             lists = batch.column("ids")
             first = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]
             ids = lists.flatten().to_numpy(zero_copy_only=False)

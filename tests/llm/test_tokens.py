@@ -64,6 +64,26 @@ def test_pieces_equal_the_library(models):
     assert model.decode(ids, first).to_pylist() == [model.library.decode(x) for x in model.library.encode(texts)]
 
 
+def test_bytes_that_are_no_text_decode_as_in_the_library(models):
+    r, model = random.Random(3), models[0]
+    lists = [[r.choice([r.choice(model.bytes), r.randrange(len(model.scores))]) for _ in range(r.randint(1, 8))] for _ in range(3000)]
+    first = np.r_[0, np.cumsum([len(x) for x in lists])]
+    found = model.decode(np.array([i for x in lists for i in x]), first).to_pylist()
+    assert found == [model.library.decode(x) for x in lists]
+
+
+def test_memos_are_bounded(models, monkeypatch):
+    """Whatever is forgotten, the ids stay the library's."""
+    with open(PIECE_MODEL, "rb") as file:
+        model = pieces.Pieces.of(file.read())
+    monkeypatch.setattr(model, "WORD_BYTES", 2000, raising=False)
+    monkeypatch.setattr(model, "MOST_PAIRS", 5, raising=False)
+    texts = odd_texts(300, 11)
+    ids, first = model.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(first, first[1:], strict=False)] == model.library.encode(texts)
+    assert len(model.words) < 20 and len(model.pairs) <= 5 and len(model.older_pairs) <= 5
+
+
 def test_unigram_paths_are_best(models):
     """No path through the lattice weighs more, by a plain recursion over all of them."""
     model = models[1]
