@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bitplanes, jaccard_join, mixing, pieces, pseudonyms, repetition, simhash, suffix_dedup, toxicity, wrappers
+from tallymart.llm import bitplanes, divergence, jaccard_join, mixing, pieces, pseudonyms, repetition, simhash, suffix_dedup, toxicity, wrappers
 from tallymart.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,43 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_planes")
 def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.planes_of(spark, table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+DIVERGENCE_SQL = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+    FROM documents),
+t AS (SELECT r, lang, source, translate(unnest(found), {_LETTERS}) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 10),
+own AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+groups AS (SELECT DISTINCT lang, source FROM d),
+vocabulary AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY 1),
+totals AS (
+    SELECT g.lang, g.source, coalesce(sum(o.n), 0)::HUGEINT AS total FROM groups g LEFT JOIN own o ON g.lang = o.lang AND g.source = o.source
+    GROUP BY 1, 2),
+shares AS (
+    SELECT s.lang, s.source, k.term, coalesce(o.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(o.n, 0) + 2) // (s.total + 2 * w.v) AS p,
+           1 + 1000000000::HUGEINT * (k.n + 2) // (w.total + 2 * w.v) AS q
+    FROM totals s JOIN vocabulary w ON s.lang = w.lang JOIN kept k ON k.lang = s.lang
+    LEFT JOIN own o ON o.lang = s.lang AND o.source = s.source AND o.term = k.term),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op11_divergence_audit", DIVERGENCE_SQL)
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
