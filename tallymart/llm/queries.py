@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bitplanes, divergence, jaccard_join, mixing, pieces, pseudonyms, repetition, simhash, suffix_dedup, toxicity, wrappers
+from tallymart.llm import bitplanes, conversations, divergence, jaccard_join, mixing, pieces, pseudonyms, repetition, simhash, suffix_dedup, toxicity, wrappers
 from tallymart.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,8 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank F
 @query("op11_divergence_audit", DIVERGENCE_SQL)
 def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(table(spark, sf_dir, "conversations"))
