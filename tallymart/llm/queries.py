@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bitplanes, conversations, divergence, jaccard_join, mixing, pieces, pseudonyms, repetition, simhash, suffix_dedup, toxicity, wrappers
+from tallymart.llm import bitplanes, conversations, divergence, jaccard_join, mixing, pieces, pseudonyms, repetition, setsketch, simhash, suffix_dedup, toxicity, wrappers
 from tallymart.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,24 @@ def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_conversation_repair")
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(table(spark, sf_dir, "conversations"))
+
+
+SKETCH_SQL = rf"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i : i + 2], ' ') AS shingle
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM w WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reached AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM w JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
+@query("op13_setsketch", SKETCH_SQL)
+def op13_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_copies(table(spark, sf_dir, "documents"))
