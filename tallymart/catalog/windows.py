@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallymart.catalog.registry import query
 from tallymart.catalog.tables import sql_mean
 from tallymart.functions import money
-from tallymart.operators import ranking
+from tallymart.operators import ranking, scans
 from tallymart.plans import shop as reports
 from tallymart.session import materialise
 
@@ -124,3 +124,51 @@ def win_rank_distributed(t):
     rows = t.items.select("order_id", "line_no", "product_id", "quantity", "line_total")
     ranked = ranking.rank(rows, ["-quantity", "line_total"], "rank", "dense_rank").drop("quantity")
     return ranked.withColumn("line_total", F.col("line_total").cast("double"))
+
+
+_LINE_ORDER = "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
+_EXACT = "CAST(l_extendedprice AS DECIMAL(18,2))"
+
+
+def _lines(t):
+    """All order lines with an order that only equal rows tie in."""
+    rows = t.raw("lineitem").withColumn("amount", F.col("l_extendedprice").cast("decimal(18,2)"))
+    return rows, _LINE_ORDER.split(", ")
+
+
+@query(
+    "win_lag_distributed",
+    f"""SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS VARCHAR) AS shipped, CAST(amount AS DOUBLE) AS amount,
+               CAST(lag(amount) OVER w AS DOUBLE) AS previous, CAST(lag(amount, 7) OVER w AS DOUBLE) AS seventh
+        FROM (SELECT *, {_EXACT} AS amount FROM lineitem) WINDOW w AS (ORDER BY {_LINE_ORDER})""",
+)
+def win_lag_distributed(t):
+    rows, order = _lines(t)
+    found = scans.scan(rows, order, lags={"previous": ("amount", 1), "seventh": ("amount", 7)})
+    values = [F.col(c).cast("double").alias(c) for c in ("amount", "previous", "seventh")]
+    return found.select("l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipped"), *values)
+
+
+@query(
+    "win_running_distributed",
+    f"""SELECT l_orderkey, l_linenumber, row_number() OVER w AS place, CAST(sum(amount) OVER (w ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_total,
+               CAST(sum(amount) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS DOUBLE) AS last_ten
+        FROM (SELECT *, {_EXACT} AS amount FROM lineitem) WINDOW w AS (ORDER BY {_LINE_ORDER})""",
+)
+def win_running_distributed(t):
+    rows, order = _lines(t)
+    found = scans.scan(rows, order, number="place", running={"running_total": "amount"}, moving={"last_ten": ("amount", 10)})
+    return found.select("l_orderkey", "l_linenumber", "place", *[F.col(c).cast("double").alias(c) for c in ("running_total", "last_ten")])
+
+
+@query(
+    "win_running_by_group",
+    f"""SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER w AS place, CAST(sum(amount) OVER (w ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_total,
+               CAST(sum(amount) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE) AS last_three, CAST(lag(amount, 2) OVER w AS DOUBLE) AS second
+        FROM (SELECT *, {_EXACT} AS amount FROM lineitem) WINDOW w AS (PARTITION BY l_returnflag ORDER BY {_LINE_ORDER})""",
+)
+def win_running_by_group(t):
+    # three groups hold all lines
+    rows, order = _lines(t)
+    found = scans.scan(rows, order, ["l_returnflag"], number="place", running={"running_total": "amount"}, lags={"second": ("amount", 2)}, moving={"last_three": ("amount", 3)})
+    return found.select("l_orderkey", "l_linenumber", "l_returnflag", "place", *[F.col(c).cast("double").alias(c) for c in ("running_total", "last_three", "second")])

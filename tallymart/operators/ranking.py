@@ -17,19 +17,12 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.operators.scans import at_or_after, column_of, rank, scan, sort_keys  # noqa: F401  (rank is part of this module)
 from tallymart.session import materialise, together
 
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
-def column_of(term: str) -> str:
-    return term.lstrip("-")
-
-
-def sort_keys(order: Sequence[str]) -> list[Column]:
-    return [F.col(t[1:]).desc() if t.startswith("-") else F.col(t).asc() for t in order]
-
-
 def _offsets(counted: DataFrame, *amounts: str) -> DataFrame:
     """Running totals over earlier range partitions; one row per partition."""
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,41 +59,6 @@ def row_number(df: DataFrame, order: Sequence[str], out: str = "row_num") -> Dat
     return positions(df, order).drop("_all_n").withColumnRenamed("_rn", out)
 
 
-def rank(
-    df: DataFrame, order: Sequence[str], out: str | None = "rank", dense_out: str | None = None
-) -> DataFrame:
-    """RANK and DENSE_RANK over the whole table.
-
-    ``df`` is read twice; pass a stored frame where it is costly.
-    """
-    cols = [column_of(t) for t in order]
-    values = df.groupBy(*cols).agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1).cast("long"))
-    stored = materialise(
-        values.repartitionByRange(*sort_keys(order)).withColumn("_part", F.spark_partition_id()), "ranks"
-    )
-    offsets = _offsets(
-        stored.groupBy("_part").agg(F.sum("_n").alias("_n"), F.sum("_one").alias("_one")), "_n", "_one"
-    )
-    local = Window.partitionBy("_part").orderBy(*sort_keys(order))
-    earlier = local.rowsBetween(Window.unboundedPreceding, -1)
-    table = (
-        stored.withColumn("_smaller", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn("_dense", F.row_number().over(local))
-        .join(F.broadcast(offsets), "_part")  # one row per range partition
-        .select(
-            *[F.col(c).alias(f"_key_{c}") for c in cols],
-            (F.col("_before_n") + F.col("_smaller") + 1).alias("_rank"),
-            (F.col("_before_one") + F.col("_dense")).alias("_dense_rank"),
-        )
-    )
-    same = F.lit(True)
-    for c in cols:
-        same = same & df[c].eqNullSafe(table[f"_key_{c}"])
-    wanted = [F.col("_rank").alias(out)] if out else []
-    wanted += [F.col("_dense_rank").alias(dense_out)] if dense_out else []
-    return df.join(table, same).select(*[df[c] for c in df.columns], *wanted)
-
-
 def top_ranked(df: DataFrame, k: int, order: Sequence[str], out: str = "rank") -> DataFrame:
     """Rows with RANK <= k, ties kept.
 
@@ -125,19 +83,6 @@ def top_ranked(df: DataFrame, k: int, order: Sequence[str], out: str = "rank") -
     return df.join(leaders, same).select(*[df[c] for c in df.columns], F.col("_rank").alias(out))
 
 
-def _at_or_after(order: Sequence[str], cut: Row) -> Column:
-    """Whether a row sorts at or after ``cut``; NULL is the smallest value."""
-    reached = F.lit(True)
-    for term in reversed(order):
-        c, bound = F.col(column_of(term)), cut[column_of(term)]
-        if term.startswith("-"):
-            later = F.lit(False) if bound is None else c.isNull() | (c < F.lit(bound))
-        else:
-            later = c.isNotNull() if bound is None else c > F.lit(bound)
-        reached = F.coalesce(later, F.lit(False)) | (c.eqNullSafe(F.lit(bound)) & reached)
-    return reached
-
-
 def _bucket_starts(df: DataFrame, n: int, order: Sequence[str]) -> list[Row]:
     """The first row of each NTILE(n) bucket but the first one: at most n - 1 rows."""
     base = F.floor(F.col("_all_n") / n)
@@ -156,7 +101,7 @@ def ntiles(df: DataFrame, buckets: Mapping[str, tuple[int, Sequence[str]]]) -> D
     for (out, (_, order)), cuts in zip(buckets.items(), together(*lookups), strict=True):
         bucket = F.lit(1).cast("long")
         for cut in cuts:
-            bucket = bucket + F.when(_at_or_after(order, cut), 1).otherwise(0)
+            bucket = bucket + F.when(at_or_after(order, cut), 1).otherwise(0)
         df = df.withColumn(out, bucket)
     return df
 
@@ -166,19 +111,8 @@ def ntile(df: DataFrame, n: int, order: Sequence[str], out: str) -> DataFrame:
 
 
 def row_number_by(df: DataFrame, by: Sequence[str], order: Sequence[str], out: str = "row_num") -> DataFrame:
-    """ROW_NUMBER within groups: the place in the whole table, sorted by group, less that of the group's first row.
-
-    Groups of any size are cut by the range partitions, so none has to fit in a task. ``order`` has to be
-    total within a group for a repeatable result.
-    """
-    placed = positions(df, [*by, *order])
-    first = placed.groupBy(*[F.col(c).alias(f"_key_{c}") for c in by]).agg(F.min("_rn").alias("_first"))
-    same = F.lit(True)
-    for c in by:
-        same = same & placed[c].eqNullSafe(first[f"_key_{c}"])
-    return placed.join(first, same).select(
-        *[placed[c] for c in df.columns], (F.col("_rn") - F.col("_first") + 1).alias(out)
-    )
+    """ROW_NUMBER within groups of any size. ``order`` has to be total within a group for a repeatable result."""
+    return scan(df, order, by, number=out)
 
 
 def median(df: DataFrame, column: str) -> DataFrame:
