@@ -39,7 +39,7 @@ def ranked(lines: DataFrame) -> DataFrame:
 
 def numbered_lines(lines: DataFrame, tie_break: Sequence[str]) -> DataFrame:
     """Row number of each line within its customer, largest sale first."""
-    return ranking.row_number_by(lines, ["customer_id"], ["-sales", *tie_break], "row_num")
+    return ranking.row_number_by(materialise(lines), ["customer_id"], ["-sales", *tie_break], "row_num")
 
 
 def top_ranked(lines: DataFrame, k: int = 3) -> DataFrame:
