@@ -9,8 +9,9 @@ larger, smaller and equal, together with the known sizes, gives the likelihood o
 whose best similarity below the limit is beyond doubt are dropped, all others are verified on their whole sets.
 
 Sets that are equal are one. Links are needed up to their components, so in every round each band value links its
-sets to one pivot, sets of one component need no further links, and rounds go on with other pivots until one of
-them finds nothing; only then pairs of different components are listed, filtered by likelihood and verified.
+sets to one pivot, sets of one component need no further links, and a set that shares too few elements with all
+others of its buckets has no partner. Rounds go on with other pivots until one finds nothing or little is left; only then pairs of
+different components that share a rare element are listed, filtered by sizes and likelihood, and verified.
 """
 
 from __future__ import annotations
@@ -240,8 +241,30 @@ def _one_of_each_bucket(postings: DataFrame) -> DataFrame:
     return postings.join(kept, "key", "left_semi")
 
 
-def _alike(n: str, m: str, rule: SketchRule) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * rule.percent
+def _alike(one: str, two: str, rule: SketchRule) -> Column:
+    """Whether sizes n, and the numbers m of elements that are shared with anyone, allow the two to link."""
+    n, k, m, l = (F.col(f"{x}{c}") for c in ("n", "m") for x in (one, two))  # noqa: E741
+    return (F.least(n, k) * 100 >= F.greatest(n, k) * rule.percent) & (F.least(m, l) * (100 + rule.percent) >= (n + k) * rule.percent)
+
+
+def _shared_elements(whole: DataFrame, docs: DataFrame, rule: SketchRule) -> DataFrame:
+    """Per set of ``docs`` (doc, n) that can have a partner among them: doc, m elements that others of them have too, prefix.
+
+    The rarest shared elements come first; two sets that link must share one of their prefixes. Stored.
+    """
+
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "elements", 1 << 20):
+            packed = part.column("elements").to_pylist()
+            owner = np.repeat(part.column("doc").to_numpy(), [len(x) // 8 for x in packed])
+            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.frombuffer(b"".join(packed), "<i8"))], ["doc", "h"])
+
+    held = materialise(whole.join(docs, "doc", "left_semi").mapInArrow(unpack, "doc long, h long"), "elements")
+    often = held.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1")
+    shared = held.join(often, "h").groupBy("doc").agg(F.count("*").alias("m"), F.array_sort(F.collect_list(F.struct("c", "h"))).alias("x"))
+    least = F.ceil(F.col("n") * rule.percent / 100)
+    shared = shared.join(docs, "doc").filter(F.col("m") >= least)
+    return materialise(shared.select("doc", "m", F.slice("x", F.lit(1), (F.col("m") - least + 1).cast("int"))["h"].alias("prefix")), "prefixes")
 
 
 def link_sets(sets: DataFrame, rows: DataFrame, rule: SketchRule = SketchRule()) -> DataFrame | None:
@@ -251,43 +274,52 @@ def link_sets(sets: DataFrame, rows: DataFrame, rule: SketchRule = SketchRule())
     """
     postings = materialise(_one_of_each_bucket(materialise(_bands(sets, rule), "bands")), "buckets")
     central = postings.join(postings.groupBy("key").agg(F.count("*").alias("c")), "key").groupBy("doc").agg(F.sum("c").alias("central"))
-    central = materialise(central, "members")
-    size = postings.count()
-    if not size:
-        return None
     members = materialise(sets.join(central, "doc"), "meeting-sets")
-    postings = materialise(postings.join(central, "doc"), "postings")
+    if members.isEmpty():
+        return None
     whole = _whole_sets(members, rows, rule)
-    links, comps, turn = None, None, 0
+    postings = postings.join(members.select("doc", "central"), "doc").withColumn("m", F.col("n"))
+    here, links, turn = materialise(postings.withColumn("comp", F.col("doc")), "postings"), None, 0
     while True:
-        if comps is None:
-            here = postings.withColumn("comp", F.col("doc"))
-        else:
-            here = postings.join(comps.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-        # buckets of one component have nothing left to find
-        shares = here.groupBy("key", "comp").agg(F.count("*").cast("decimal(38,0)").alias("c")).groupBy("key").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("s"))
-        shares = shares.filter(F.col("t") * F.col("t") > F.col("s")).select("key", (F.col("t") * F.col("t") - F.col("s")).alias("open"))
-        here = materialise(here.join(shares, "key").select("key", "doc", "n", "central", "comp", "open"), "open-buckets")
-        pairs_left = here.groupBy("key").agg(F.first("open").alias("open")).agg(F.sum("open") / 2).first()[0] or 0
-        if pairs_left <= size:
-            break  # no more pairs than rows: list them
         # the pivot of a bucket: first the set that shares most buckets with most others, then any
         by = -F.col("central") if turn == 0 else F.xxhash64("doc", F.lit(turn))
-        pivots = here.groupBy("key").agg(F.min(F.struct(by.alias("by"), F.struct("doc", "comp", "n").alias("p"))).alias("x")).select("key", F.col("x.p").alias("p"))
-        met = here.join(pivots, "key").filter((F.col("comp") != F.col("p.comp")) & _alike("n", "p.n", rule))
-        pairs = met.select(F.least("doc", "p.doc").alias("a"), F.greatest("doc", "p.doc").alias("b")).distinct()
-        found = _verified(_likely(pairs, members, rule), whole, rule)
+        pivots = here.groupBy("key").agg(F.min(F.struct(by.alias("by"), F.struct("doc", "comp", "n", "m").alias("p"))).alias("x")).select("key", F.col("x.p").alias("p"))
+        met = here.join(pivots, "key").filter((F.col("comp") != F.col("p.comp")) & _alike("", "p.", rule))
+        found = _verified(_likely(_ordered(met, "doc", "p.doc"), members, rule), whole, rule)
+        nothing = found.isEmpty()
+        links = found if links is None else links.unionByName(found)
+        comps = _components(links).withColumnRenamed("node", "doc")
+        here = here.drop("comp").join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+        here = materialise(_open(here), "open-buckets")
+        if turn == 0:
+            # a set that too few elements of which are in any other has no partner left
+            shared = _shared_elements(whole, here.select("doc", "n").distinct(), rule)
+            here = materialise(_open(here.drop("m").join(shared.select("doc", "m"), "doc")), "open-buckets")
+        turn += 1
         release_shuffles(sets.sparkSession)
-        if found.isEmpty() and turn:
+        if nothing or here.select(F.coalesce(F.sum("open"), F.lit(0)) <= F.count("*")).first()[0]:
             break
-        links = found if links is None else links.unionByName(found)
-        comps, turn = _components(links), turn + 1
-    # pairs of different components that no pivot linked
-    other = here.select("key", F.col("doc").alias("doc2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    pairs = here.join(other, "key").filter((F.col("doc") < F.col("doc2")) & (F.col("comp") != F.col("comp2")) & _alike("n", "n2", rule))
-    pairs = pairs.select(F.col("doc").alias("a"), F.col("doc2").alias("b")).distinct()
-    last = _verified(_likely(pairs, members, rule), whole, rule)
-    return _components(last if links is None else links.unionByName(last))
+    # what no pivot linked, once no round finds a link or there is little left: pairs of one bucket, different components
+    # and a common element of their prefixes, at the least of these elements
+    left = here.groupBy("doc", "n", "m", "comp").agg(F.collect_set("key").alias("keys")).join(shared.select("doc", "prefix"), "doc")
+    left = materialise(left.withColumn("h", F.explode("prefix")), "left-over")
+    other = left.select("h", *(F.col(c).alias(f"other_{c}") for c in ("doc", "n", "m", "comp", "keys", "prefix")))
+    once = F.array_min(F.array_intersect("prefix", "other_prefix")) == F.col("h")
+    pairs = left.join(other, "h").filter((F.col("doc") < F.col("other_doc")) & (F.col("comp") != F.col("other_comp")) & _alike("", "other_", rule) & F.arrays_overlap("keys", "other_keys") & once)
+    last = _verified(_likely(_ordered(pairs, "doc", "other_doc"), members, rule), whole, rule)
+    return _components(links.unionByName(last))
+
+
+def _ordered(pairs: DataFrame, one: str, two: str) -> DataFrame:
+    return pairs.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
+
+
+def _open(here: DataFrame) -> DataFrame:
+    """Rows of buckets of several components; ``open`` is how many sets of a bucket are not of the row's component."""
+    shares = here.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    buckets = shares.groupBy("key").agg(F.sum("c").alias("t"), F.count("*").alias("k")).filter("k > 1").select("key", "t")
+    held = shares.join(buckets, "key").select("key", "comp", (F.col("t") - F.col("c")).alias("open"))
+    return here.drop("open").join(held, ["key", "comp"])
 
 
 def near_copies(docs: DataFrame, rule: SketchRule = SketchRule(), id_col="doc_id", text_col="text") -> DataFrame:
