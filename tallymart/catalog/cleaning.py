@@ -117,6 +117,19 @@ def clean_parse_date(t):
     return clean.keep_until(clean.drop_null(parsed, ["order_date"]), "order_date", date(2025, 12, 31))
 
 
+@query(
+    "clean_parse_date_formats",
+    "SELECT order_id, CASE WHEN order_id % 50 <> 7 THEN order_date END AS order_date FROM shop_orders",
+    dates=["order_date"],
+)
+def clean_parse_date_formats(t):
+    """Every spelling of a date that the feeds have, and a text that is none."""
+    spelt = F.lit("13/13/2020 or so")
+    for k, form in enumerate(dates.DATE_FORMATS):
+        spelt = F.when((F.col("order_id") % 50 != 7) & (F.col("order_id") % 3 == k), F.date_format("order_date", form)).otherwise(spelt)
+    return t.orders.select("order_id", dates.tolerant_date(spelt).alias("order_date"))
+
+
 @query("clean_parse_num", "SELECT product_id, arrival, TRY_CAST(price AS DOUBLE) AS price FROM dirty_products WHERE TRY_CAST(price AS DOUBLE) > 0")
 def clean_parse_num(t):
     parsed = t.dirty_products.select("product_id", "arrival", dates.tolerant_number(F.col("price")).alias("price"))

@@ -73,6 +73,15 @@ def scd2_init(t):
     return _plain(merge.scd2_init(t.orders, DAY1))
 
 
+@query(
+    "scd2_init_today",
+    f"SELECT {_COLUMNS}, current_date AS effective_date, CAST(NULL AS DATE) AS end_date, TRUE AS is_current FROM shop_orders",
+    dates=["order_date", "effective_date", "end_date"],
+)
+def scd2_init_today(t):
+    return _plain(merge.scd2_init(t.orders))
+
+
 _DIFFERS = " OR ".join(f"f.{c} IS DISTINCT FROM o.{c}" for c in TRACKED)
 _CHANGED = f"SELECT f.* FROM order_feed f JOIN shop_orders o ON f.order_id = o.order_id WHERE {_DIFFERS}"
 

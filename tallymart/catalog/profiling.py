@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallymart.catalog.cleaning import cleaned_shop
 from tallymart.catalog.registry import query
-from tallymart.operators import profile
+from tallymart.operators import profile, sampling, sketches
 
 
 def _unpivot(columns: list[str], expr: str, source: str, value: str) -> str:
@@ -23,7 +23,7 @@ def prof_tail(t):
     return profile.tail(t.orders.select("order_id", "customer_id", "status"), 5, ["order_id"])
 
 
-_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+_TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @query("prof_counts", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in _TABLES))
@@ -164,6 +164,24 @@ def prof_step_audit(t):
     return cleaned_shop(t).audit
 
 
-@query("prof_sample")
+@query(
+    "prof_sample",
+    """SELECT order_id, customer_id, order_date, status FROM (
+           SELECT *, row_number() OVER (PARTITION BY status ORDER BY ('0x' || substr(md5('1:' || order_id), 1, 15))::BIGINT, order_id) AS place,
+                  ceil(0.015 * count(*) OVER (PARTITION BY status)) AS size FROM shop_orders) WHERE place <= size""",
+    dates=["order_date"],
+)
 def prof_sample(t):
-    return profile.sample(t.orders, 0.015, seed=1)
+    return sampling.exact_sample(t.orders.select("order_id", "customer_id", "order_date", "status"), ["order_id"], 0.015, 1, ["status"])
+
+
+@query(
+    "prof_quartiles",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count({c}) AS n, quantile_disc({c}, 0.25)::DOUBLE AS q25, quantile_disc({c}, 0.5)::DOUBLE AS q50,
+            quantile_disc({c}, 0.75)::DOUBLE AS q75 FROM lineitem"""
+        for c in _NUMBERS
+    ),
+)
+def prof_quartiles(t):
+    return sketches.quantiles(t.raw("lineitem"), _NUMBERS)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tallymart.catalog.registry import query
 from tallymart.catalog.tables import sql_mean, sql_percent
 from tallymart.functions import dates, money, text
-from tallymart.operators import joins, profile, ranking
+from tallymart.operators import joins, profile, ranking, sketches
+from tallymart.session import materialise
 
 # ---- projections and filters -----------------------------------------------------------
 
@@ -327,9 +328,24 @@ def agg_stats(t):
 
 @query("agg_distinct", "SELECT store_id, count(DISTINCT order_id) AS orders, count(DISTINCT product_id) AS products FROM shop_items GROUP BY store_id")
 def agg_distinct(t):
-    return t.items.groupBy("store_id").agg(
-        F.count_distinct("order_id").alias("orders"), F.count_distinct("product_id").alias("products")
-    )
+    return sketches.distinct_counts(t.items, ["store_id"], {"orders": "order_id", "products": "product_id"})
+
+
+@query(
+    "agg_distinct_sketches",
+    """SELECT year(order_date) AS order_year, count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS orders, TRUE AS customers_close, TRUE AS orders_close
+       FROM shop_orders GROUP BY 1""",
+)
+def agg_distinct_sketches(t):
+    """Sketches per day, stored and united per year, against the exact counts."""
+    columns = {"customers": "customer_id", "orders": "order_id"}
+    per_day = materialise(sketches.distinct_sketches(t.orders, ["order_date"], columns), "distinct-sketches")
+    year = F.year("order_date").cast("long").alias("order_year")
+    united = sketches.united_distinct_counts(per_day.select(year, *columns), ["order_year"], list(columns))
+    exact = sketches.distinct_counts(t.orders.select(year, *columns.values()), ["order_year"], columns)
+    bound = sketches.relative_error()
+    close = [(F.abs(F.col(f"u.{c}") - F.col(f"e.{c}")) <= F.col(f"e.{c}") * bound).alias(f"{c}_close") for c in columns]
+    return exact.alias("e").join(united.alias("u"), "order_year").select("order_year", "e.customers", "e.orders", *close)
 
 
 @query("agg_distinct_global", "SELECT count(DISTINCT customer_id) AS customers FROM shop_orders")
@@ -414,9 +430,11 @@ def distinct_proj(t):
 # ---- sorts, limits ---------------------------------------------------------------------
 
 
-@query("sort_multi", "SELECT customer_id, country, email FROM dirty_customers ORDER BY country NULLS FIRST, customer_id, email NULLS FIRST")
+@query("sort_multi", """SELECT customer_id, country, email, row_number() OVER (ORDER BY country NULLS FIRST, customer_id, email NULLS FIRST) AS place
+       FROM dirty_customers ORDER BY place""")
 def sort_multi(t):
-    return t.dirty_customers.select("customer_id", "country", "email").orderBy("country", "customer_id", "email")
+    rows = t.dirty_customers.select("customer_id", "country", "email")
+    return ranking.row_number(rows, ["country", "customer_id", "email"], "place").orderBy("place")
 
 
 @query("topk", "SELECT order_id, CAST(total_amount AS DOUBLE) AS total_amount FROM shop_orders ORDER BY total_amount DESC, order_id LIMIT 10")

@@ -8,8 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallymart.catalog.registry import query
+from tallymart.operators import compare
 from tallymart.plans import shop
-from tallymart.session import new_path
+from tallymart.session import materialise, new_path
 from tallymart.sources import readers, writers
 
 
@@ -130,6 +131,25 @@ def copy_verify(t):
     return writers.copy_csv(t.spark, source, target, schema)
 
 
+_COPY = """SELECT order_id, customer_id, status, CAST(total_amount AS DOUBLE) + CASE WHEN order_id % 5000 = 7 THEN 1 ELSE 0 END AS total_amount
+           FROM shop_orders, range(2) copies(k) WHERE order_id % 5000 <> 8 AND (k = 0 OR order_id % 5000 = 9)"""
+_ORDERS = "SELECT order_id, customer_id, status, CAST(total_amount AS DOUBLE) AS total_amount, 1 AS s, 0 AS t FROM shop_orders"
+
+
+@query(
+    "copy_diff",
+    f"""SELECT order_id, customer_id, status, total_amount, sum(s)::BIGINT AS n_source, sum(t)::BIGINT AS n_target
+        FROM ({_ORDERS} UNION ALL SELECT *, 0, 1 FROM ({_COPY})) GROUP BY ALL HAVING sum(s) <> sum(t)""",
+)
+def copy_diff(t):
+    """A copy in which some orders are changed, lost or doubled."""
+    rows = t.orders.select("order_id", "customer_id", "status", F.col("total_amount").cast("double").alias("total_amount"))
+    kind = F.col("order_id") % 5000
+    copy = rows.filter(kind != 8).withColumn("total_amount", F.col("total_amount") + F.when(kind == 7, 1).otherwise(0))
+    copy = materialise(copy.unionByName(rows.filter(kind == 9)), "copy")
+    return compare.differing_rows(rows, copy, ["order_id"])
+
+
 @query("report_export", "SELECT month, CAST(revenue AS DOUBLE) AS total_revenue, orders_count FROM months")
 def report_export(t):
     """A named report saved as one CSV file and read back."""

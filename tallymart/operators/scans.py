@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tallymart.session import materialise
+from tallymart.session import few_rows, materialise
 
 SAMPLED = 60  # rows of the sample per range
 LEAST = 20  # fewer rows of the sample make no range of their own
@@ -91,7 +91,7 @@ def _same(a: Row, b: Row, columns: Sequence[str]) -> bool:
 
 def _by_range(stored: DataFrame, columns: str, offsets: Sequence[tuple]) -> DataFrame:
     """``stored`` with what every range carries over: one broadcast row per range."""
-    return stored.join(F.broadcast(stored.sparkSession.createDataFrame(offsets, f"_range int, {columns}")), "_range")
+    return stored.join(F.broadcast(few_rows(stored.sparkSession, offsets, f"_range int, {columns}")), "_range")
 
 
 def rank(df: DataFrame, order: Sequence[str], out: str | None = "rank", dense_out: str | None = None, ranges: int | None = None) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 T = TypeVar("T")
 
@@ -64,6 +67,13 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small frame from values on the driver, as one literal of the plan."""
+    fields = T_.StructType.fromDDL(schema)
+    text = json.dumps([dict(zip(fields.names, row, strict=True)) for row in rows], default=str)
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), T_.ArrayType(fields))))
+
+
 def together(*jobs: Callable[[], T]) -> list[T]:
     """Results of independent Spark jobs, submitted at the same time so that they share the cluster."""
     with ThreadPoolExecutor(len(jobs)) as pool:

@@ -15,8 +15,8 @@ SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 QUERIES = catalog.queries()  # the corpus queries are tested next to their operators
 ORACLES = catalog.oracle_sql()
-# a sample and file times have no SQL twin
-ROWS_ONLY = {"prof_sample", "src_file_audit"}
+# file times have no SQL twin
+ROWS_ONLY = {"src_file_audit"}
 
 
 @pytest.fixture(scope="module")
@@ -70,7 +70,16 @@ def test_a_sample_is_repeatable_and_of_the_given_size(spark):
     sample = QUERIES["prof_sample"](spark, "/root/testdata/sf0.01")
     again = QUERIES["prof_sample"](spark, "/root/testdata/sf0.01")
     assert sample.exceptAll(again).isEmpty()
-    assert 150 < sample.count() < 300  # 1.5 % of 15,000
+    assert 225 <= sample.count() <= 228  # 1.5 % of 15,000, rounded up in each of three strata
+
+
+def test_sorted_rows_come_in_order(spark):
+    places = [r.place for r in QUERIES["sort_multi"](spark, SF).collect()]
+    assert places == list(range(1, len(places) + 1))
+    amounts = [(-r.total_amount, r.order_id) for r in QUERIES["topk"](spark, SF).collect()]
+    assert amounts == sorted(amounts) and len(amounts) == 10
+    amounts = [(r.total_amount, r.order_id) for r in QUERIES["bottomk"](spark, SF).collect()]
+    assert amounts == sorted(amounts) and len(amounts) == 5
 
 
 def test_file_audit_sees_every_table(spark):
