@@ -28,7 +28,8 @@ _FRAME = struct.Struct("<QQQ")
 
 
 def fingerprint(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - FINGERPRINT_BITS)
+    # mixed, as chosen hashes (the least of a window, say) crowd and buckets go by leading bits
+    return mix64(hashes) >> np.uint64(64 - FINGERPRINT_BITS)
 
 
 def _planes(values: np.ndarray, width: int) -> bytes:
