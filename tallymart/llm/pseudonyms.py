@@ -4,7 +4,9 @@ What looks like private data is checked (card numbers by their check digit, acco
 dates by the calendar, network addresses by their ranges); every number in a phone format counts. A valid value is a number within
 the set of all valid values of its format; a keyed Feistel network permutes that set, and the image is
 written in the same format. Equal values get equal pseudonyms in every document and every run with the
-same key, also where only the separators differ; different values get different ones.
+same key, also where only the separators differ; different values get different ones. A date is one value
+however it is written, and so is an IPv6 address; a national phone number and its international form are two.
+Secrets and addresses have any length: long ones are permuted in blocks, each chained to those before it.
 """
 
 from __future__ import annotations
@@ -67,6 +69,17 @@ def permute(key: bytes, tweak: str, n: int, x: int, back: bool = False) -> int:
 FIRST_DAY, LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 HEX_DIGITS = "0123456789abcdef"
+MONTHS = {
+    "en": "January February March April May June July August September October November December",
+    "short": "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec",
+    "de": "Januar Februar März April Mai Juni Juli August September Oktober November Dezember",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+}
+MONTH_LISTS = [names.split() for names in MONTHS.values()]
+MONTH = "|".join(sorted({name for names in MONTH_LISTS for name in names}, key=lambda name: (-len(name), name)))
+HEX_GROUP = "[0-9a-fA-F]{1,4}"
+BLOCK = 24  # letters that are permuted together
 
 
 def _marks() -> str:
@@ -83,22 +96,26 @@ def _marks() -> str:
 
 MARKS = _marks()
 PATTERNS = {
-    "email": rf"(?<![\w{MARKS}.%+-])(?P<local>[\w{MARKS}.%+-]{{1,64}})@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})",
+    "email": rf"(?<![\w{MARKS}.%+-])(?P<local>[\w{MARKS}.%+-]++)@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "password": r"(?i:(?<![a-z])(?:password|passwd|pwd)\s?[=:]\s?)(?P<secret>[^\s\"',;]{4,64})",
+    "password": r"(?i:(?<![a-z])(?:password|passwd|pwd)\s?[=:]\s?)(?P<secret>[^\s\"',;]++)",
     "token": r"(?<![A-Za-z0-9])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "iso_date": r"(?<![\d.-])(?P<y1>\d{4})(?P<s1>[-/.])(?P<m1>\d{2})(?P=s1)(?P<d1>\d{2})(?![\d.-]?\d)",
-    "day_date": r"(?<![\d./-])(?P<a2>\d{2})(?P<s2>[-/.])(?P<b2>\d{2})(?P=s2)(?P<y2>\d{4})(?![\d./-]?\d)",
+    "iso_date": r"(?<![\d.-])(?P<y1>\d{4})(?P<s1>[-/.])(?P<m1>\d{1,2})(?P=s1)(?P<d1>\d{1,2})(?![\d.-]?\d)",
+    "day_date": r"(?<![\d./-])(?P<a2>\d{1,2})(?P<s2>[-/.])(?P<b2>\d{1,2})(?P=s2)(?P<y2>\d{4})(?![\d./-]?\d)",
+    "name_date": rf"(?<![\w.,/-])(?P<d3>[0-9]{{1,2}})(?P<o3>st|nd|rd|th)?(?P<s3>\.?[ -]| de | of )(?P<n3>(?i:{MONTH}))(?P<t3>[.,]?[ -]| de )(?P<y3>[0-9]{{4}})(?!\w)",
+    "month_date": rf"(?<!\w)(?P<n4>(?i:{MONTH}))(?P<s4>\.? )(?P<d4>[0-9]{{1,2}})(?P<o4>st|nd|rd|th)?(?P<t4>,? )(?P<y4>[0-9]{{4}})(?!\w)",
+    "ip6": rf"(?<![\w:])(?:(?:{HEX_GROUP}:){{7}}{HEX_GROUP}|(?:{HEX_GROUP}:){{1,6}}(?::{HEX_GROUP}){{1,6}}|(?:{HEX_GROUP}:){{2,7}}:)(?![\w:])",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?!-?\d)",
-    "phone": r"(?<![\d+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
+    "ssn": r"(?<![\d-])\d{3}(?P<s5>[- ])\d{2}(?P=s5)\d{4}(?![- ]?\d)",
+    "phone": r"(?<![\d+])(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\w.,-])\d{10}(?![\w-]|[.,]\d))",
     "abroad": r"(?<![\d+])\+(?P<land>[2-9]\d{0,2})(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)",
+    "national": r"(?<![\w+.,/:-])\(?0[1-9]\d{0,3}\)?(?:[ .-]?\d{2,4}){2,4}(?![\w-]|[ .,/:]?\d)",
     "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?![.-]?\d)",
 }
 KINDS = list(PATTERNS)
 # digits of other scripts are in none of these formats
-PATTERNS |= {kind: f"(?a:{PATTERNS[kind]})" for kind in KINDS if kind not in ("email", "password")}
+PATTERNS |= {kind: f"(?a:{PATTERNS[kind]})" for kind in KINDS if kind not in ("email", "password", "name_date", "month_date")}
 ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
 READ = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 # groups of digits that the card pattern may join, and how the groups of a card are written, likeliest first
@@ -165,29 +182,42 @@ class Pseudonyms:
         return _unmixed(radices, permute(self.key, tweak, n, x))
 
     def _letters(self, tweak: str, text: str, sets: Iterable[str] = (LOWER, UPPER, DIGITS)) -> str:
-        """Every character of a set stays in its set; others stay."""
+        """Every character of a set stays in its set; others stay. Blocks after the first depend on all before them."""
         sets = tuple(sets)
         of = [next((s for s in sets if c in s), None) for c in text]
-        moved = [(c, s) for c, s in zip(text, of, strict=True) if s]
-        form = "".join("x" if s is None else str(sets.index(s)) for s in of)
-        new = iter(self._place(f"{tweak}|{form}", [len(s) for _, s in moved], [s.index(c) for c, s in moved]))
-        return "".join(s[next(new)] if s else c for c, s in zip(text, of, strict=True))
+        out, chain = list(text), hashlib.blake2b(key=self.key, digest_size=16)
+        places = [k for k, s in enumerate(of) if s]
+        for first in range(0, max(1, len(places)), BLOCK):
+            block = places[first : first + BLOCK]
+            # a block reaches to the next one, with what stays in between
+            a = block[0] if first else 0
+            b = places[first + BLOCK] if first + BLOCK < len(places) else len(text)
+            form = "".join("x" if s is None else str(sets.index(s)) if s.isascii() else f"{s[0]}." for s in of[a:b])
+            mark = f"{tweak}|{form}|{chain.hexdigest()}" if first else f"{tweak}|{form}"
+            for k, v in zip(block, self._place(mark, [len(of[k]) for k in block], [of[k].index(text[k]) for k in block]), strict=True):
+                out[k] = of[k][v]
+            chain.update(f"{tweak}|{text[a:b]}|".encode())
+        return "".join(out)
+
+    def _scripts(self, tweak: str, text: str) -> str:
+        """Letters stay in their script and case, digits digits."""
+        others = dict.fromkeys(_alike(ord(c) >> 8, c.islower(), c.isupper()) for c in text if c.isalnum() and not c.isascii())
+        # letters of other scripts stay among those of their page and case, without the ASCII ones
+        sets = (LOWER, UPPER, DIGITS, *("".join(c for c in s if not c.isascii()) for s in sorted(others)))
+        return self._letters(tweak, text, sets)
 
     def email(self, m: re.Match) -> str | None:
         local, host = m["local"], m["host"]
         if not any(c.isalnum() for c in local):
             return None
-        others = dict.fromkeys(_alike(ord(c) >> 8, c.islower(), c.isupper()) for c in local if c.isalnum() and not c.isascii())
-        # letters of other scripts stay among those of their page and case, without the ASCII ones
-        sets = (LOWER, UPPER, DIGITS, *("".join(c for c in s if not c.isascii()) for s in sorted(others)))
-        return f"{self._letters('email|' + host.lower(), local, sets)}@{host}"
+        return f"{self._scripts('email|' + host.lower(), local)}@{host}"
 
     def access_key(self, m: re.Match) -> str:
         text = m.group()
         return text[:4] + self._letters("access", text[4:], (UPPER + DIGITS,))
 
     def password(self, m: re.Match) -> str:
-        return m.group()[: m.start("secret") - m.start()] + self._letters("password", m["secret"])
+        return m.group()[: m.start("secret") - m.start()] + self._scripts("password", m["secret"])
 
     def token(self, m: re.Match) -> str:
         return self._letters("token", m.group(), (HEX_DIGITS,))
@@ -214,17 +244,60 @@ class Pseudonyms:
 
     def iso_date(self, m: re.Match) -> str | None:
         new = self._day(m["y1"], m["m1"], m["d1"])
-        return new and f"{new.year:04d}{m['s1']}{new.month:02d}{m['s1']}{new.day:02d}"
+        wide = min(len(m["m1"]), len(m["d1"]))
+        return new and f"{new.year:04d}{m['s1']}{new.month:0{wide}d}{m['s1']}{new.day:0{wide}d}"
 
     def day_date(self, m: re.Match) -> str | None:
         """Day first; month first where only that is a date."""
         a, b, s = m["a2"], m["b2"], m["s2"]
+        wide = min(len(a), len(b))
         if new := self._day(m["y2"], b, a):
-            return f"{new.day:02d}{s}{new.month:02d}{s}{new.year:04d}"
+            return f"{new.day:0{wide}d}{s}{new.month:0{wide}d}{s}{new.year:04d}"
         new = self._day(m["y2"], a, b)
         while new and new.day <= 12:  # stays a date that only reads month first
             new = self._day(str(new.year), str(new.month), str(new.day))
-        return new and f"{new.month:02d}{s}{new.day:02d}{s}{new.year:04d}"
+        return new and f"{new.month:0{wide}d}{s}{new.day:0{wide}d}{s}{new.year:04d}"
+
+    def _named_day(self, name: str, day: str, ordinal: str | None, year: str) -> tuple[str, str, int] | None:
+        """Month, day and year of the pseudonym, written as the given ones are."""
+        names = next(some for some in MONTH_LISTS if name.lower() in map(str.lower, some))
+        new = self._day(year, str([x.lower() for x in names].index(name.lower()) + 1), day)
+        if new is None:
+            return None
+        month = names[new.month - 1]
+        month = month.lower() if name.islower() else month.upper() if name.isupper() else month.capitalize()
+        number = f"{new.day:02d}" if day[0] == "0" else str(new.day)
+        if ordinal:
+            number += "th" if new.day in (11, 12, 13) else {1: "st", 2: "nd", 3: "rd"}.get(new.day % 10, "th")
+        return month, number, new.year
+
+    def name_date(self, m: re.Match) -> str | None:
+        new = self._named_day(m["n3"], m["d3"], m["o3"], m["y3"])
+        return new and f"{new[1]}{m['s3']}{new[0]}{m['t3']}{new[2]:04d}"
+
+    def month_date(self, m: re.Match) -> str | None:
+        new = self._named_day(m["n4"], m["d4"], m["o4"], m["y4"])
+        return new and f"{new[0]}{m['s4']}{new[1]}{m['t4']}{new[2]:04d}"
+
+    def ip6(self, m: re.Match) -> str | None:
+        """Groups of zeros stay, so that short and long forms of an address get the same pseudonym."""
+        text = m.group()
+        head, short, tail = text.partition("::")
+        written = [head.split(":") if head else [], tail.split(":") if tail else []]
+        left = 8 - len(written[0]) - len(written[1])
+        if short and (left < 1 or len(text.strip(":").split(":")) < 4 and not any(c in DIGITS for c in text)):
+            return None
+        groups = [int(x, 16) for x in written[0] + ["0"] * left + written[1]]
+        taken = [k for k, g in enumerate(groups) if g]
+        if not taken:
+            return None
+        form = "".join("0" if not g else "x" for g in groups)
+        new = dict(zip(taken, self._place(f"ip6|{form}", [0xFFFF] * len(taken), [groups[k] - 1 for k in taken]), strict=True))
+        wide = 4 if all(len(x) == 4 for side in written for x in side) else 1
+        out = [f"{new[k] + 1 if k in new else 0:0{wide}x}" for k in range(8)]
+        if text != text.lower():
+            out = [x.upper() for x in out]
+        return ":".join(out[: len(written[0])]) + short + ":".join(out[8 - len(written[1]) :] if short else [])
 
     def ip(self, m: re.Match) -> str | None:
         octets = [int(x) for x in m.group().split(".")]
@@ -233,12 +306,13 @@ class Pseudonyms:
         return ".".join(map(str, self._place("ip", [256] * 4, octets)))
 
     def ssn(self, m: re.Match) -> str | None:
-        area, group, serial = map(int, m.group().split("-"))
+        sep = m["s5"]
+        area, group, serial = map(int, m.group().split(sep))
         if area in (0, 666) or area >= 900 or not group or not serial:
             return None
         # areas 1 to 899 without 666
         a, g, s = self._place("ssn", [898, 99, 9999], [area - 1 - (area > 666), group - 1, serial - 1])
-        return f"{a + 1 + (a >= 665):03d}-{g + 1:02d}-{s + 1:04d}"
+        return f"{a + 1 + (a >= 665):03d}{sep}{g + 1:02d}{sep}{s + 1:04d}"
 
     def phone(self, m: re.Match) -> str:
         digits = _digits(m.group())
@@ -258,6 +332,15 @@ class Pseudonyms:
         new = permute(self.key, f"abroad|{land}|{len(rest)}", 10 ** len(rest), int(rest))
         return _refill(m.group(), f"{land}{new:0{len(rest)}d}")
 
+    def national(self, m: re.Match) -> str | None:
+        """A number with the leading zero of national calls, which stays."""
+        digits = _digits(m.group())
+        if not 9 <= len(digits) <= 11 or m.group().count("(") != m.group().count(")"):
+            return None
+        # the digit after the zero is none
+        first, rest = self._place(f"national|{len(digits)}", [9, 10 ** (len(digits) - 2)], [int(digits[1]) - 1, int(digits[2:])])
+        return _refill(m.group(), f"0{first + 1}{rest:0{len(digits) - 2}d}")
+
     def card(self, m: re.Match) -> str | None:
         """The first digit, which tells the brand, stays; the check digit follows from the others."""
         digits = _digits(m.group())
@@ -329,7 +412,7 @@ class Pseudonyms:
                     failed = max(failed, here.end())
                 else:
                     new = getattr(self, kind)(here)
-                    found = (*here.span(), new) if new is not None else self._shorter(kind, text, here, to) if kind in ("iban", "abroad") else None
+                    found = (*here.span(), new) if new is not None else self._shorter(kind, text, here, to) if kind in ("iban", "abroad", "national") else None
                 if found:
                     if found[0] > start:
                         yield from self._find(text, at, found[0])
