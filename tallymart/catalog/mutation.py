@@ -11,6 +11,7 @@ from tallymart.catalog.registry import query
 from tallymart.operators import merge
 from tallymart.session import new_path
 from tallymart.sources import writers
+from tallymart.streaming.feeds import FeedHistory
 
 DAY1, DAY2 = date(2026, 1, 1), date(2026, 2, 1)
 TRACKED = ["status", "total_amount", "priority"]
@@ -209,3 +210,43 @@ def normalize_orders(t):
 
 def _normalised(t):
     return merge.normalise_sales(t.sales("customer", "product"))
+
+
+_STATES = ["status", "priority"]
+_FEED_VERSIONS = """WITH feed AS (
+      SELECT customer_id, order_date AS day, status, priority, order_id AS latest_order FROM shop_orders
+      QUALIFY row_number() OVER (PARTITION BY customer_id, order_date ORDER BY order_id DESC) = 1),
+    seen AS (
+      SELECT *, row_number() OVER w AS place, lag(status) OVER w AS status_before, lag(priority) OVER w AS priority_before
+      FROM feed WINDOW w AS (PARTITION BY customer_id ORDER BY day)),
+    changes AS (SELECT * FROM seen WHERE place = 1 OR status IS DISTINCT FROM status_before OR priority IS DISTINCT FROM priority_before),
+    versions AS (
+      SELECT customer_id, status, priority, latest_order, day AS effective_date, lead(day) OVER (PARTITION BY customer_id ORDER BY day) AS end_date
+      FROM changes)"""
+
+
+def _followed(t) -> FeedHistory:
+    """The last order of every customer and day, as files of three periods that arrive one after the other."""
+    last = F.max_by(F.struct("status", "priority", F.col("order_id").alias("latest_order")), "order_id").alias("last")
+    feed = t.orders.groupBy("customer_id", F.col("order_date").cast("date").alias("day")).agg(last).select("customer_id", "day", "last.*")
+    folder, mark = new_path(t.spark, "feed"), new_path(t.spark, "mark")
+    history = FeedHistory(t.spark, new_path(t.spark, "history"), feed.schema, ["customer_id"], _STATES, "day").create()
+    for first, last_year in ((None, 1993), (1994, 1995), (1996, None)):
+        year = F.year("day")
+        feed.filter((year >= first if first else F.lit(True)) & (year <= last_year if last_year else F.lit(True))).write.mode("append").parquet(folder)
+        history.follow(folder, mark)
+    return history
+
+
+@query(
+    "feed_history",
+    f"{_FEED_VERSIONS} SELECT *, end_date IS NULL AS is_current FROM versions",
+    dates=["effective_date", "end_date"],
+)
+def feed_history(t):
+    return _followed(t).versions()
+
+
+@query("feed_current", f"{_FEED_VERSIONS} SELECT customer_id, status, priority, latest_order, effective_date FROM versions WHERE end_date IS NULL", dates=["effective_date"])
+def feed_current(t):
+    return _followed(t).current()

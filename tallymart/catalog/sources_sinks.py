@@ -11,7 +11,7 @@ from tallymart.catalog.registry import query
 from tallymart.operators import compare
 from tallymart.plans import shop
 from tallymart.session import materialise, new_path
-from tallymart.sources import readers, writers
+from tallymart.sources import column_types, readers, writers
 
 
 @query(
@@ -156,3 +156,44 @@ def report_export(t):
     path = new_path(t.spark, "report")
     writers.csv(shop.run_report("revenue_by_month", t.shop), path, single_file=True)
     return readers.csv(t.spark, path, "month string, total_revenue double, orders_count bigint")
+
+
+# column, expression of its text in SQL, type and format that all rows together admit, whether two formats do
+_TEXT_COLUMNS = [
+    ("order_id", "CAST(l_orderkey AS VARCHAR)", "CASE WHEN max(length(text)) <= 9 THEN 'int' ELSE 'bigint' END", "NULL", "FALSE"),
+    ("price", "CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS VARCHAR)", "'decimal(' || (max(length(text)) - 1) || ',2)'", "NULL", "FALSE"),
+    ("part_code", "lpad(CAST(l_partkey AS VARCHAR), 12, '0')", "'string'", "NULL", "FALSE"),
+    ("is_open", "CASE WHEN l_linestatus = 'O' THEN 'true' ELSE 'false' END", "'boolean'", "NULL", "FALSE"),
+    ("ship_iso", "strftime(l_shipdate, '%Y-%m-%d')", "'date'", "'yyyy-M-d'", "FALSE"),
+    ("ship_day_first", "strftime(l_shipdate, '%d/%m/%Y')", "'date'", "'d/M/yyyy'", "FALSE"),
+    ("ship_month_first", "strftime(l_shipdate, '%m/%d/%Y')", "'date'", "'M/d/yyyy'", "FALSE"),
+    ("early_in_month", "CASE WHEN day(l_shipdate) <= 12 THEN strftime(l_shipdate, '%d-%m-%Y') END", "'date'", "'d-M-yyyy'", "TRUE"),
+    ("flag", "l_returnflag", "'string'", "NULL", "FALSE"),
+]
+
+
+@query(
+    "src_infer_types",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS column_name, count(text) AS n_values, count(*) - count(text) AS n_blank, {kind} AS type, CAST({form} AS VARCHAR) AS format, "
+        f"{either} AS ambiguous FROM (SELECT {text} AS text FROM lineitem)"
+        for name, text, kind, form, either in _TEXT_COLUMNS
+    ),
+)
+def src_infer_types(t):
+    """Types of a CSV file without a schema, the file read once."""
+    ship = F.col("l_shipdate")
+    texts = t.raw("lineitem").select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_extendedprice").cast("decimal(14,2)").cast("string").alias("price"),
+        F.lpad(F.col("l_partkey").cast("string"), 12, "0").alias("part_code"),
+        F.when(F.col("l_linestatus") == "O", "true").otherwise("false").alias("is_open"),
+        F.date_format(ship, "yyyy-MM-dd").alias("ship_iso"),
+        F.date_format(ship, "dd/MM/yyyy").alias("ship_day_first"),
+        F.date_format(ship, "MM/dd/yyyy").alias("ship_month_first"),
+        F.when(F.dayofmonth(ship) <= 12, F.date_format(ship, "dd-MM-yyyy")).alias("early_in_month"),
+        F.col("l_returnflag").alias("flag"),
+    )
+    path = new_path(t.spark, "csv")
+    writers.csv(texts, path)
+    return column_types.infer_types(readers.csv(t.spark, path, ", ".join(f"{c} string" for c in texts.columns)))
