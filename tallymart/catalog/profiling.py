@@ -185,3 +185,23 @@ def prof_sample(t):
 )
 def prof_quartiles(t):
     return sketches.quantiles(t.raw("lineitem"), _NUMBERS)
+
+
+@query(
+    "prof_plan",
+    """SELECT 'narrow' AS name, 0 AS shuffles, 0 AS broadcasts, 1 AS scans, 'l_orderkey,l_quantity' AS columns_read,
+              'GreaterThan(l_quantity,45.0),IsNotNull(l_quantity)' AS pushed, count(*) AS n_rows FROM lineitem WHERE l_quantity > 45
+       UNION ALL SELECT 'wide', 1, 0, 1, 'l_extendedprice,l_returnflag', '', count(DISTINCT l_returnflag) FROM lineitem""",
+)
+def prof_plan(t):
+    """A query of narrow steps and one with a wide step: what their plans cost, next to their rows."""
+    lines = t.raw("lineitem")
+    narrow = lines.filter(F.col("l_quantity") > 45).select("l_orderkey", "l_quantity")
+    wide = lines.groupBy("l_returnflag").agg(F.max("l_extendedprice").alias("largest"))
+
+    def described(name, df):
+        plan = profile.plan_summary(df)
+        told = {"name": name, "shuffles": plan.shuffles, "broadcasts": plan.broadcasts, "scans": plan.scans, "columns_read": ",".join(plan.columns_read), "pushed": ",".join(plan.pushed)}
+        return df.agg(F.count("*").alias("n_rows")).select(*[F.lit(v).alias(c) for c, v in told.items()], "n_rows")
+
+    return described("narrow", narrow).unionByName(described("wide", wide))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import io
+import re
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +60,32 @@ def plan_text(df: DataFrame) -> str:
     return out.getvalue()
 
 
+class PlanSummary(NamedTuple):
+    """What a plan costs at scale: its shuffles, broadcasts and scans, the columns the scans read and the filters they take."""
+
+    shuffles: int
+    broadcasts: int
+    scans: int
+    columns_read: list[str]
+    pushed: list[str]
+
+
+def plan_summary(df: DataFrame) -> PlanSummary:
+    """The plan of ``df`` as Spark explains it before it runs; nothing is read."""
+    shuffles = broadcasts = scans = 0
+    columns, pushed = set(), set()
+    for line in plan_text(df).splitlines():
+        if step := re.match(r"\(\d+\) (\S+)", line):
+            shuffles += step[1] == "Exchange"
+            broadcasts += step[1] == "BroadcastExchange"
+            scans += step[1] == "Scan"
+        elif line.startswith("ReadSchema: struct<"):
+            columns |= set(re.findall(r"(?:^|,)([^:,<>]+):", line[len("ReadSchema: struct<") : -1]))
+        elif line.startswith("PushedFilters: ["):
+            pushed |= set(re.findall(r"\w+\([^()]*(?:\([^()]*\)[^()]*)*\)", line))
+    return PlanSummary(shuffles, broadcasts, scans, sorted(columns), sorted(pushed))
+
+
 def _unpivot(one_row: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
     return one_row.unpivot([], list(columns), "column_name", value)
 
