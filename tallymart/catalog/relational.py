@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tallymart.catalog.registry import query
-from tallymart.catalog.tables import sql_mean, sql_percent
+from tallymart.catalog.tables import order_status, sql_mean, sql_percent
 from tallymart.functions import dates, money, text
 from tallymart.operators import joins, profile, ranking, sketches
 from tallymart.session import materialise
@@ -67,8 +67,10 @@ def flt_and(t):
 
 @query("flt_or", "SELECT order_id, status, priority FROM shop_orders WHERE status = 'pending' OR priority = '1-URGENT'")
 def flt_or(t):
-    rows = t.orders.filter((F.col("status") == "pending") | (F.col("priority") == "1-URGENT"))
-    return rows.select("order_id", "status", "priority")
+    # both sides on raw columns, so that the whole condition reaches the Parquet scan
+    either = (F.col("o_orderstatus") == "O") | (F.col("o_orderpriority") == "1-URGENT")
+    rows = t.raw("orders").filter(either)
+    return rows.select(F.col("o_orderkey").alias("order_id"), order_status(F.col("o_orderstatus")).alias("status"), F.col("o_orderpriority").alias("priority"))
 
 
 @query("flt_not_equal", "SELECT order_id, status FROM order_feed WHERE status <> 'cancelled'")

@@ -17,7 +17,7 @@ from tallymart.plans.shop import Shop
 from tallymart.session import tune
 
 
-def _status(code: Column) -> Column:
+def order_status(code: Column) -> Column:
     """Nested and null-safe, so that a filter on the result becomes one on the column and reaches the scan."""
     return F.when(code.eqNullSafe("F"), "completed").otherwise(
         F.when(code.eqNullSafe("O"), "pending").otherwise("cancelled")
@@ -61,7 +61,7 @@ class Bound:
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
-            _status(F.col("o_orderstatus")).alias("status"),
+            order_status(F.col("o_orderstatus")).alias("status"),
             F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
             F.col("o_orderpriority").alias("priority"),
         )

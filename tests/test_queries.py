@@ -100,3 +100,9 @@ def test_pushed_filters_and_read_columns(spark):
     plan = profile.plan_text(QUERIES["rep_frequency_segments"](spark, SF))
     assert "EqualNullSafe(o_orderstatus,F)" in plan
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string>" in plan
+
+
+def test_filters_reach_the_scan(spark):
+    plan = profile.plan_summary(QUERIES["flt_or"](spark, SF))
+    assert plan.pushed == ["Or(EqualTo(o_orderstatus,O),EqualTo(o_orderpriority,1-URGENT))"] and plan.shuffles == 0
+    assert plan.columns_read == ["o_orderkey", "o_orderpriority", "o_orderstatus"]
