@@ -2,11 +2,13 @@
 
 Each function takes snapshots and returns the next snapshot; the caller writes it to a new
 path. The feed is the small side: Spark broadcasts it where its size is below
-``spark.sql.autoBroadcastJoinThreshold`` and then the target is not shuffled at all.
+``spark.sql.autoBroadcastJoinThreshold`` and then the target is not shuffled at all. ``upsert``
+counts the rows of the feed for that, since the size of compressed files says little of their memory.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from datetime import date
 from typing import NamedTuple
@@ -19,6 +21,9 @@ from tallymart.operators.joins import changed_rows, differs
 from tallymart.session import materialise
 from tallymart.sources import writers
 
+KEY_BYTES = 64  # of a row in a broadcast hash table, at least
+TASK_BYTES = 16 << 20  # of rows of a feed in one task
+
 
 def stored_feed(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``source`` stored once, or an error where a key is NULL or repeated.
@@ -47,6 +52,9 @@ def upsert(
     keys = list(keys)
     update = [c for c in target.columns if c not in keys] if update_columns is None else list(update_columns)
     feed = stored_feed(_typed_like(source, target), keys)
+    n_rows, threshold = feed.count(), feed.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if n_rows * KEY_BYTES > threshold:
+        return _upsert_large(target, feed, keys, update, n_rows)
     news = feed.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in update], F.lit(True).alias("_hit"))
     updated = target.join(news, keys, "left").select(
         *[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c)
@@ -56,6 +64,25 @@ def upsert(
     return updated.unionByName(feed.join(known, keys, "left_anti"))
 
 
+def _upsert_large(target: DataFrame, feed: DataFrame, keys: list[str], update: list[str], n_rows: int) -> DataFrame:
+    """``upsert`` of a feed that is no hash table's size: one sort-merge join, so a task sorts one part of either side.
+
+    The number of parts is fixed, as Spark would join small ones by their compressed size. Target rows without a key pass by.
+    """
+    spark, named = feed.sparkSession, F.lit(True)
+    for k in keys:
+        named = named & F.col(k).isNotNull()
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_rows * 16 * len(feed.columns) / TASK_BYTES))
+    others = [c for c in target.columns if c not in keys]
+    news = feed.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in others], F.lit(True).alias("_hit"))
+    olds = target.filter(named).withColumn("_old", F.lit(True))
+    merged = olds.repartition(n, *keys).join(news.repartition(n, *keys), keys, "full").select(
+        *[F.when(F.col("_hit") if c in update else F.col("_old").isNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+          if c in others else F.col(c) for c in target.columns]
+    )
+    return merged.unionByName(target.filter(~named))
+
+
 def merge_metrics(
     target: DataFrame, source: DataFrame, keys: Sequence[str], as_of: date | None = None
 ) -> DataFrame:

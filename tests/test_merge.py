@@ -206,3 +206,31 @@ def test_normalise_keeps_one_row_per_product(spark):
     assert rows(parts.customers) == [("c1", "Ann", "VIP")]
     assert rows(parts.products) == [("p1", "Pencil", "Office")]
     assert parts.orders.count() == 2
+
+
+def test_large_feed_is_one_join_of_many_parts(spark, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        target = spark.range(40_000).select(
+            F.when(F.col("id") % 10 != 9, F.col("id")).alias("id"), F.lit("a").alias("mode"), F.col("id").cast("int").alias("qty")
+        )
+        target = target.unionByName(target.limit(20))  # keys may repeat
+        stored, source = new_path(spark, "target"), new_path(spark, "source")
+        target.write.parquet(stored)
+        spark.range(0, 80_000, 3).filter("id % 10 != 9").select("id", F.lit(None).cast("string").alias("mode"), F.lit(-1).alias("qty")).write.parquet(source)
+        old, new = spark.read.parquet(stored), spark.read.parquet(source)
+        key = F.coalesce(F.col("id"), F.lit(-1))
+        for update in (None, ["qty"]):
+            monkeypatch.setattr(merge, "TASK_BYTES", 1 << 17)
+            merged = merge.upsert(old, new, ["id"], update)
+            plan = merged._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Join") == 1 and "SortMergeJoin" in plan
+            assert "hashpartitioning(id" in plan and ", 9)" in plan  # more parts than the session's 4
+            monkeypatch.setattr(merge, "KEY_BYTES", 0)
+            small = merge.upsert(old, new, ["id"], update)
+            monkeypatch.undo()
+            assert merged.dtypes == small.dtypes == old.dtypes
+            a, b = (df.groupBy(key.alias("id"), "mode", "qty").count() for df in (merged, small))
+            assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
