@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 from collections.abc import Iterable, Iterator
@@ -40,8 +41,10 @@ def fresh(df: DataFrame, name: str) -> str:
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows whose ``column`` holds about ``limit`` bytes, one row at least.
 
-    Keeps the memory of what works on a run bounded by ``limit`` or the longest value.
+    Keeps the memory of what works on a run bounded by ``limit`` or the longest value. After the last run, what was freed goes
+    back to the system.
     """
+    batch = None
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -50,6 +53,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 8 << 20)
         starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
         for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
             yield batch.slice(start, end - start)
+    del batch
+    release_memory()
+
+
+def release_memory() -> None:
+    """Return freed memory to the system; a Python worker lives on for other tasks, and its allocators would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
 
 
 def split_words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:

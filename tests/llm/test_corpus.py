@@ -2,12 +2,14 @@
 
 import collections
 import random
+import tracemalloc
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tallymart.llm import jaccard_join, mixing, pieces, pseudonyms, repetition, suffix_dedup, toxicity, wrappers
+from tallymart.llm import jaccard_join, mixing, pieces, pseudonyms, repetition, shared, suffix_dedup, toxicity, wrappers
 from tallymart.llm.queries import ORACLES, PIECE_MODEL, QUERIES, TEST_KEY
 
 
@@ -168,3 +170,33 @@ def test_pipeline(spark):
     assert {i: len(x) for i, x in found.items()} == {i: n for i, n in copies.items() if n}
     assert all(ids == library.encode(texts[i]) for i, some in found.items() for ids in some)
     assert suffix_dedup.dedup_report(docs).count() == docs.count()
+
+
+class InThisProcess:
+    """Batches that stand for a frame whose tasks run here."""
+
+    columns, schema = ["text"], None
+
+    def __init__(self, *batches):
+        self.batches = batches
+
+    def mapInArrow(self, work, schema):
+        return list(work(iter(self.batches)))
+
+
+def test_quality_rules_take_bounded_memory(monkeypatch):
+    r = random.Random(8)
+    words = ["".join(r.choices("abcdefghijklmnop", k=r.randint(2, 7))) for _ in range(5_000)]
+    texts = [" ".join(r.choices(words, k=r.choice([20, 400]))) for _ in range(4_000)]
+    batch, released = pa.RecordBatch.from_pydict({"text": texts}), []
+    assert batch.nbytes > 4 << 20
+    monkeypatch.setattr(shared, "release_memory", lambda: released.append(True))
+    tracemalloc.start()
+    try:
+        kept = repetition.keep_good(InThisProcess(batch))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 64 << 20  # of one run, not of the batch
+    assert released == [True]  # for the stages after it
+    assert [x for part in kept for x in part.column("text").to_pylist()] == [x for x in texts if x.count(" ") > 50]
