@@ -107,7 +107,7 @@ PATTERNS = {
     "month_date": rf"(?<!\w)(?P<n4>(?i:{MONTH}))(?P<s4>\.? )(?P<d4>[0-9]{{1,2}})(?P<o4>st|nd|rd|th)?(?P<t4>,? )(?P<y4>[0-9]{{4}})(?!\w)",
     "ip6": rf"(?<![\w:])(?:(?:{HEX_GROUP}:){{7}}{HEX_GROUP}|(?:{HEX_GROUP}:){{1,6}}(?::{HEX_GROUP}){{1,6}}|(?:{HEX_GROUP}:){{2,7}}:)(?![\w:])",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)",
-    "ssn": r"(?<![\d-])\d{3}(?P<s5>[- ])\d{2}(?P=s5)\d{4}(?![- ]?\d)",
+    "ssn": r"(?<![\d-])\d{3}(?P<s5>[- ])\d{2}(?P=s5)\d{4}(?!-?\d)(?!(?P=s5)\d)",
     "phone": r"(?<![\d+])(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\w.,-])\d{10}(?![\w-]|[.,]\d))",
     "abroad": r"(?<![\d+])\+(?P<land>[2-9]\d{0,2})(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)",
     "national": r"(?<![\w+.,/:-])\(?0[1-9]\d{0,3}\)?(?:[ .-]?\d{2,4}){2,4}(?![\w-]|[ .,/:]?\d)",

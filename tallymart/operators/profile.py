@@ -53,10 +53,11 @@ def info(df: DataFrame) -> DataFrame:
 
 
 def plan_text(df: DataFrame) -> str:
-    """The physical plan as text; each ``Exchange`` in it is a shuffle."""
+    """The physical plan as text, its numbered steps with their details and then a line for each; each ``Exchange`` in it is a shuffle."""
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
         df.explain("formatted")
+        df.explain("simple")
     return out.getvalue()
 
 
