@@ -9,9 +9,10 @@ larger, smaller and equal, together with the known sizes, gives the likelihood o
 whose best similarity below the limit is beyond doubt are dropped, all others are verified on their whole sets.
 
 Sets that are equal are one. Links are needed up to their components, so in every round each band value links its
-sets to one pivot, sets of one component need no further links, and a set that shares too few elements with all
-others of its buckets has no partner. Rounds go on with other pivots until one finds nothing or little is left; only then pairs of
-different components that share a rare element are listed, filtered by sizes and likelihood, and verified.
+sets to one pivot, and sets of one component need no further links. After the first round the sets of a family are kept as what they
+differ in from its core: whether two link depends on their common differences only, and a set that shares too few differences with
+others has no partner. Rounds go on with other pivots until one finds nothing or little is left; only then pairs of
+different components that share a rare difference are listed, filtered by sizes and likelihood, and verified.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.shared import fresh, id_and_text, mix64, release_shuffles, slices, window_hashes, word_hashes
@@ -128,7 +129,7 @@ def beyond_doubt(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray,
 
 
 def _describe(rows: DataFrame, rule: SketchRule) -> DataFrame:
-    """Per row of ``rows`` (doc_id, text): doc_id, n, s1 and s2 (which equal sets share), sketch."""
+    """Per row of ``rows`` (doc_id, text): doc_id, n, s1 and s2 (which equal sets share), t (a hash of the text), sketch."""
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", HASH_RUN):
@@ -136,9 +137,10 @@ def _describe(rows: DataFrame, rule: SketchRule) -> DataFrame:
             signs = [pa.array(x) for x in _signatures(hashes, first)]
             registers = sketches(hashes, first, rule)
             packed = pa.array([row.tobytes() for row in registers], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(first)), *signs, packed], ["doc_id", "n", "s1", "s2", "sketch"])
+            columns = [part.column("doc_id"), pa.array(np.diff(first)), *signs, part.column("t"), packed]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2", "t", "sketch"])
 
-    return rows.mapInArrow(describe, "doc_id long, n long, s1 long, s2 long, sketch binary")
+    return rows.withColumn("t", F.xxhash64("text")).mapInArrow(describe, "doc_id long, n long, s1 long, s2 long, t long, sketch binary")
 
 
 def _registers(column: pa.Array, rule: SketchRule) -> np.ndarray:
@@ -146,7 +148,7 @@ def _registers(column: pa.Array, rule: SketchRule) -> np.ndarray:
 
 
 def _bands(sets: DataFrame, rule: SketchRule) -> DataFrame:
-    """doc, n and a 64-bit key of each band of the sketches of ``sets`` (doc, n, sketch)."""
+    """doc and a 64-bit key of each band of the sketches of ``sets`` (doc, sketch)."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(k, 2_000) for b in batches for k in range(0, b.num_rows, 2_000)):
@@ -154,10 +156,10 @@ def _bands(sets: DataFrame, rule: SketchRule) -> DataFrame:
             key = np.broadcast_to(np.arange(rule.bands, dtype=np.uint64), (batch.num_rows, rule.bands)).copy()
             for k in range(rule.rows):
                 key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + registers[:, :, k].astype(np.uint64) + np.uint64(1))
-            doc, n = (np.repeat(batch.column(c).to_numpy(), rule.bands) for c in ("doc", "n"))
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(doc), pa.array(n)], ["key", "doc", "n"])
+            doc = np.repeat(batch.column("doc").to_numpy(), rule.bands)
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(doc)], ["key", "doc"])
 
-    return sets.mapInArrow(cut, "key long, doc long, n long")
+    return sets.select("doc", "sketch").mapInArrow(cut, "key long, doc long")
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, rule: SketchRule) -> DataFrame:
@@ -175,7 +177,7 @@ def _likely(pairs: DataFrame, sets: DataFrame, rule: SketchRule) -> DataFrame:
 
 
 def _whole_sets(sets: DataFrame, rows: DataFrame, rule: SketchRule) -> DataFrame:
-    """doc and elements (packed) of ``sets`` (doc, s1, s2) from ``rows`` (doc_id, text), stored."""
+    """doc and elements (packed) of ``sets`` (doc, s1, s2, t) from ``rows`` (doc_id, text), stored."""
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", HASH_RUN):
@@ -185,9 +187,10 @@ def _whole_sets(sets: DataFrame, rows: DataFrame, rule: SketchRule) -> DataFrame
             right = np.logical_and(*(x == part.column(c).to_numpy() for x, c in zip(_signatures(hashes, first), ("s1", "s2"), strict=True)))
             yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(packed, pa.binary())], ["doc", "elements"]).filter(pa.array(right))
 
-    wanted = rows.withColumnRenamed("doc_id", "doc").join(sets.select("doc", "s1", "s2"), "doc")
-    packed = wanted.select("doc", "s1", "s2", "text").mapInArrow(pack, "doc long, elements binary")
-    return materialise(packed.groupBy("doc").agg(F.first("elements").alias("elements")), "whole-sets")
+    # equal texts of an id become one where the join has brought them together, so that no further shuffle is needed
+    wanted = rows.withColumnRenamed("doc_id", "doc").withColumn("t", F.xxhash64("text")).join(sets.select("doc", "s1", "s2", "t"), ["doc", "t"])
+    wanted = wanted.dropDuplicates(["doc", "t"])
+    return materialise(wanted.select("doc", "s1", "s2", "text").mapInArrow(pack, "doc long, elements binary"), "whole-sets")
 
 
 def _verified(pairs: DataFrame, whole: DataFrame, rule: SketchRule) -> DataFrame:
@@ -233,83 +236,147 @@ def _components(links: DataFrame) -> DataFrame:
     return labels
 
 
+def _meeting(postings: DataFrame) -> DataFrame:
+    """``postings`` (key, doc) of keys that several sets have, stored; one shuffle, as nearly all keys have one set."""
+    return materialise(postings.withColumn("c", F.count("*").over(Window.partitionBy("key"))).filter("c > 1"), "meeting-postings")
+
+
 def _one_of_each_bucket(postings: DataFrame) -> DataFrame:
-    """``postings`` (key, doc, n) of keys that several sets have, one key for all that the same sets have."""
+    """``postings`` (key, doc, c) of keys that c sets have, one key for all that the same sets have."""
     sums = [F.sum(F.xxhash64("doc", F.lit(k)).cast("decimal(38,0)")).alias(f"s{k}") for k in (1, 2)]
-    buckets = postings.groupBy("key").agg(F.count("*").alias("c"), *sums).filter("c > 1")
-    kept = buckets.groupBy("c", "s1", "s2").agg(F.min("key").alias("key")).select("key")
+    kept = postings.groupBy("key", "c").agg(*sums).groupBy("c", "s1", "s2").agg(F.min("key").alias("key")).select("key")
     return postings.join(kept, "key", "left_semi")
 
 
 def _alike(one: str, two: str, rule: SketchRule) -> Column:
-    """Whether sizes n, and the numbers m of elements that are shared with anyone, allow the two to link."""
-    n, k, m, l = (F.col(f"{x}{c}") for c in ("n", "m") for x in (one, two))  # noqa: E741
-    return (F.least(n, k) * 100 >= F.greatest(n, k) * rule.percent) & (F.least(m, l) * (100 + rule.percent) >= (n + k) * rule.percent)
+    """Whether sizes n allow the two to link."""
+    n, k = (F.col(f"{x}n") for x in (one, two))
+    return F.least(n, k) * 100 >= F.greatest(n, k) * rule.percent
 
 
-def _shared_elements(whole: DataFrame, docs: DataFrame, rule: SketchRule) -> DataFrame:
-    """Per set of ``docs`` (doc, n) that can have a partner among them: doc, m elements that others of them have too, prefix.
+def _may_share(one: str, two: str, rule: SketchRule) -> Column:
+    """Whether the numbers m of shared differences are enough for the g of both, see ``_differences``."""
+    return 2 * (100 + rule.percent) * F.least(f"{one}m", f"{two}m") >= F.col(f"{one}g") + F.col(f"{two}g")
 
-    The rarest shared elements come first; two sets that link must share one of their prefixes. Stored.
-    """
 
-    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _differences(here: DataFrame, whole: DataFrame, rule: SketchRule) -> DataFrame:
+    """Per set of ``here`` (key, doc, n, comp, central): doc, fam, g and d, how it differs from the core of its family; stored.
+
+    A family is what buckets connect. Its core is the set that meets most others, with the elements added or left out that
+    more than half of the family differ in; any core is right. d holds what only the set or only the core has. With
+    g = (100 + percent) * |d| - (100 - percent) * n two sets link if and only if 2 * (100 + percent) * (common elements of
+    their d) >= the sum of their g: what a family has in common is in no d, and what one set alone has is shared with none.
+    """
+    least = here.groupBy("key").agg(F.min("doc").alias("b"))
+    meets = materialise(here.join(least, "key").filter("doc <> b").select(F.col("doc").alias("a"), "b").distinct(), "meets")
+    families = _components(meets).select(F.col("node").alias("doc"), F.col("comp").alias("fam"))
+    docs = materialise(here.groupBy("doc").agg(F.first("n").alias("n"), F.first("central").alias("central")).join(families, "doc"), "families")
+    pivots = docs.groupBy("fam").agg(F.min(F.struct((-F.col("central")).alias("by"), "doc"))["doc"].alias("doc"), F.count("*").alias("size"))
+    pivots = materialise(pivots, "family-pivots")
+    held = materialise(whole.join(docs.select("doc", "fam", "n"), "doc"), "family-sets")
+    cores = held.join(pivots.select("doc", "fam"), ["doc", "fam"]).select("fam", F.col("elements").alias("core"))
+
+    def differ(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "elements", 1 << 20):
-            packed = part.column("elements").to_pylist()
-            owner = np.repeat(part.column("doc").to_numpy(), [len(x) // 8 for x in packed])
-            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.frombuffer(b"".join(packed), "<i8"))], ["doc", "h"])
+            sides = zip(*(part.column(c).to_pylist() for c in ("elements", "core")), strict=True)
+            found = [np.setxor1d(np.frombuffer(x, "<i8"), np.frombuffer(y, "<i8"), assume_unique=True) for x, y in sides]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc", "fam", "n")), pa.array(found, pa.list_(pa.int64()))], ["doc", "fam", "n", "d"])
+
+    first = materialise(held.join(cores, "fam").select("doc", "fam", "n", "elements", "core").mapInArrow(differ, "doc long, fam long, n long, d array<long>"), "first-differences")
+    common = first.select("fam", F.explode("d").alias("h")).groupBy("fam", "h").agg(F.count("*").alias("c"))
+    common = common.join(pivots.select("fam", "size"), "fam").filter("2 * c > size").groupBy("fam").agg(F.collect_list("h").alias("common"))
+    known = first.join(common, "fam", "left").withColumn("common", F.coalesce("common", F.array().cast("array<long>")))
+    known = known.select("doc", "fam", "n", F.concat(F.array_except("d", "common"), F.array_except("common", "d")).alias("d"))
+    return materialise(known.select("doc", "fam", ((100 + rule.percent) * F.size("d") - (100 - rule.percent) * F.col("n")).alias("g"), "d"), "differences")
+
 
-    held = materialise(whole.join(docs, "doc", "left_semi").mapInArrow(unpack, "doc long, h long"), "elements")
-    often = held.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1")
-    shared = held.join(often, "h").groupBy("doc").agg(F.count("*").alias("m"), F.array_sort(F.collect_list(F.struct("c", "h"))).alias("x"))
-    least = F.ceil(F.col("n") * rule.percent / 100)
-    shared = shared.join(docs, "doc").filter(F.col("m") >= least)
-    return materialise(shared.select("doc", "m", F.slice("x", F.lit(1), (F.col("m") - least + 1).cast("int"))["h"].alias("prefix")), "prefixes")
+def _near_core(differences: DataFrame) -> DataFrame:
+    """Links (a, b) of sets so near to the core of their family that they link without a common difference, up to their components."""
+    least = differences.groupBy("fam").agg(F.min(F.struct("g", "doc")).alias("x")).select("fam", F.col("x.g").alias("least"), F.col("x.doc").alias("b"))
+    return differences.join(least, "fam").filter("g + least <= 0 AND doc <> b").select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b"))
+
+
+def _with_partner(differences: DataFrame, comps: DataFrame, rule: SketchRule) -> DataFrame:
+    """Of ``differences`` (doc, fam, g, d) the sets that can have a partner of another component (doc, comp) by common differences.
+
+    m is the number of differences that such a set has too. Of two that link, the one with the smaller g has m >= g / (100 + percent),
+    and the other shares enough with the least such g. ``narrow`` (null for who cannot be the first of the two) and ``wide`` are
+    their rarest shared differences, and one of them is common. Stored.
+    """
+    both = 100 + rule.percent
+    named = differences.join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    held = named.select("doc", "fam", "comp", F.explode("d").alias("h"))
+    often = held.groupBy("fam", "h").agg(F.count("*").alias("c"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    shared = held.join(often.select("fam", "h", "c"), ["fam", "h"]).groupBy("doc").agg(F.count("*").alias("m"), F.array_sort(F.collect_list(F.struct("c", "h"))).alias("x"))
+    shared = differences.select("doc", "fam", "g").join(shared, "doc")
+    shared = materialise(shared.select("doc", "fam", "g", "m", F.col("x.h").alias("d")), "shared-differences")
+    least = shared.filter(F.col("m") * both >= F.col("g")).groupBy("fam").agg(F.min("g").alias("least"))
+    first = lambda need: F.slice("d", F.lit(1), (F.col("m") - F.greatest(F.lit(1), F.ceil(need)) + 1).cast("int"))
+    likely = shared.join(least, "fam").filter(2 * both * F.col("m") >= F.col("g") + F.col("least"))
+    narrow = F.when(F.col("m") * both >= F.col("g"), first(F.col("g") / both)).alias("narrow")
+    return materialise(likely.select("doc", "fam", "g", "m", narrow, first((F.col("g") + F.col("least")) / (2 * both)).alias("wide"), "d"), "with-partner")
 
 
 def link_sets(sets: DataFrame, rows: DataFrame, rule: SketchRule = SketchRule()) -> DataFrame | None:
-    """Components (node, comp) of the links among ``sets`` (doc, n, s1, s2, sketch) of ``rows`` (doc_id, text).
+    """Components (node, comp) of the links among ``sets`` (doc, n, s1, s2, t, sketch) of ``rows`` (doc_id, text).
 
     Sets without a link are not in it; None if no two sets meet.
     """
-    postings = materialise(_one_of_each_bucket(materialise(_bands(sets, rule), "bands")), "buckets")
-    central = postings.join(postings.groupBy("key").agg(F.count("*").alias("c")), "key").groupBy("doc").agg(F.sum("c").alias("central"))
-    members = materialise(sets.join(central, "doc"), "meeting-sets")
+    postings = materialise(_one_of_each_bucket(_meeting(_bands(sets, rule))), "buckets")
+    members = materialise(sets.join(postings.groupBy("doc").agg(F.sum("c").alias("central")), "doc"), "meeting-sets")
     if members.isEmpty():
         return None
     whole = _whole_sets(members, rows, rule)
-    postings = postings.join(members.select("doc", "central"), "doc").withColumn("m", F.col("n"))
-    here, links, turn = materialise(postings.withColumn("comp", F.col("doc")), "postings"), None, 0
+    postings = postings.select("key", "doc").join(members.select("doc", "n", "central"), "doc")
+    here, turn = materialise(postings.withColumn("comp", F.col("doc")), "postings"), 0
     while True:
         # the pivot of a bucket: first the set that shares most buckets with most others, then any
         by = -F.col("central") if turn == 0 else F.xxhash64("doc", F.lit(turn))
-        pivots = here.groupBy("key").agg(F.min(F.struct(by.alias("by"), F.struct("doc", "comp", "n", "m").alias("p"))).alias("x")).select("key", F.col("x.p").alias("p"))
+        carried = ["doc", "comp", "n", *(["g", "m"] if turn else [])]
+        pivots = here.groupBy("key").agg(F.min(F.struct(by.alias("by"), F.struct(*carried).alias("p"))).alias("x")).select("key", F.col("x.p").alias("p"))
         met = here.join(pivots, "key").filter((F.col("comp") != F.col("p.comp")) & _alike("", "p.", rule))
+        met = met.filter(_may_share("", "p.", rule)) if turn else met
         found = _verified(_likely(_ordered(met, "doc", "p.doc"), members, rule), whole, rule)
-        nothing = found.isEmpty()
-        links = found if links is None else links.unionByName(found)
+        if found.isEmpty() and turn:
+            break
+        links = links.unionByName(found) if turn else found
         comps = _components(links).withColumnRenamed("node", "doc")
-        here = here.drop("comp").join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-        here = materialise(_open(here), "open-buckets")
+        here = materialise(_open(_named(here, comps)), "open-buckets")
         if turn == 0:
-            # a set that too few elements of which are in any other has no partner left
-            shared = _shared_elements(whole, here.select("doc", "n").distinct(), rule)
-            here = materialise(_open(here.drop("m").join(shared.select("doc", "m"), "doc")), "open-buckets")
+            differences = _differences(here, whole, rule)
+            near = materialise(_near_core(differences), "near-core")
+            if not near.isEmpty():
+                links = links.unionByName(near)
+                comps = _components(links).withColumnRenamed("node", "doc")
+            # a set that shares too few differences with others has no partner left; without these, others share less
+            partners = _with_partner(differences, comps, rule)
+            partners = _with_partner(partners.select("doc", "fam", "g", "d"), comps, rule)
+            here = materialise(_open(_named(here.join(partners.select("doc", "g", "m"), "doc"), comps)), "open-buckets")
+            left = here.select("doc").distinct()
+            members, whole = (materialise(x.join(left, "doc", "left_semi"), "left-sets") for x in (members, whole))
         turn += 1
         release_shuffles(sets.sparkSession)
-        if nothing or here.select(F.coalesce(F.sum("open"), F.lit(0)) <= F.count("*")).first()[0]:
+        if here.select(F.coalesce(F.sum("open"), F.lit(0)) <= F.count("*")).first()[0]:
             break
     # what no pivot linked, once no round finds a link or there is little left: pairs of one bucket, different components
-    # and a common element of their prefixes, at the least of these elements
-    left = here.groupBy("doc", "n", "m", "comp").agg(F.collect_set("key").alias("keys")).join(shared.select("doc", "prefix"), "doc")
-    left = materialise(left.withColumn("h", F.explode("prefix")), "left-over")
-    other = left.select("h", *(F.col(c).alias(f"other_{c}") for c in ("doc", "n", "m", "comp", "keys", "prefix")))
-    once = F.array_min(F.array_intersect("prefix", "other_prefix")) == F.col("h")
-    pairs = left.join(other, "h").filter((F.col("doc") < F.col("other_doc")) & (F.col("comp") != F.col("other_comp")) & _alike("", "other_", rule) & F.arrays_overlap("keys", "other_keys") & once)
+    # and a common difference among their rarest, at the least of these
+    left = here.groupBy("doc", "n", "comp").agg(F.collect_set("key").alias("keys")).join(partners.drop("d"), "doc")
+    left = materialise(left, "left-over")
+    one = left.filter("narrow IS NOT NULL").select("fam", F.explode("narrow").alias("h"), "doc", "n", "comp", "g", "m", "keys", "narrow")
+    other = left.select("fam", F.explode("wide").alias("h"), *(F.col(c).alias(f"other_{c}") for c in ("doc", "n", "comp", "g", "m", "keys", "wide")))
+    once = F.array_min(F.array_intersect("narrow", "other_wide")) == F.col("h")
+    smaller = F.struct("g", "doc") < F.struct(F.col("other_g").alias("g"), F.col("other_doc").alias("doc"))
+    fits = smaller & (F.col("comp") != F.col("other_comp")) & _alike("", "other_", rule) & _may_share("", "other_", rule)
+    pairs = one.join(other, ["fam", "h"]).filter(fits & F.arrays_overlap("keys", "other_keys") & once)
     last = _verified(_likely(_ordered(pairs, "doc", "other_doc"), members, rule), whole, rule)
     return _components(links.unionByName(last))
 
 
+def _named(here: DataFrame, comps: DataFrame) -> DataFrame:
+    """``here`` with the component of each doc from ``comps`` (doc, comp), its own if there is none."""
+    return here.drop("comp").join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+
+
 def _ordered(pairs: DataFrame, one: str, two: str) -> DataFrame:
     return pairs.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
 
@@ -337,7 +404,7 @@ def near_copies(docs: DataFrame, rule: SketchRule = SketchRule(), id_col="doc_id
     documents = materialise(documents, "set-of-id")
     classes = materialise(documents.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc")), "set-classes")
     chosen = described.withColumnRenamed("doc_id", "doc").join(classes, ["doc", "n", "s1", "s2"])
-    sets = materialise(chosen.groupBy("doc", "n", "s1", "s2").agg(F.first("sketch").alias("sketch")), "sets")
+    sets = materialise(chosen.groupBy("doc", "n", "s1", "s2").agg(F.max("t").alias("t"), F.first("sketch").alias("sketch")), "sets")
     labels = link_sets(sets, rows.filter("doc_id IS NOT NULL"), rule)
     named = documents.join(classes, ["n", "s1", "s2"], "left")
     if labels is not None:

@@ -109,6 +109,53 @@ def test_families_and_chains(spark):
     assert len({c for _, c, _ in expected.values()}) < 60
 
 
+def edits(r, words, n, mark):
+    """``words`` with n of them replaced."""
+    words = list(words)
+    for place in r.sample(range(len(words)), n):
+        words[place] = f"{mark}{r.random()}"
+    return words
+
+
+def test_family_below_the_limit_is_not_listed_by_pairs(spark, monkeypatch):
+    """Edits of one text that meet in bands and do not link: after the first round no more pairs than sets, where all pairs are 11,175."""
+    r, counts = random.Random(7), []
+    base = [f"w{k}" for k in range(150)]
+    rows = [(k, " ".join(edits(r, base, 6, f"x{k}y"))) for k in range(150)]
+    rows += [(200 + k, " ".join(edits(r, rows[k][1].split(), 2, f"z{k}y"))) for k in range(2)]
+    likely = setsketch._likely
+    monkeypatch.setattr(setsketch, "_likely", lambda pairs, *rest: counts.append(pairs.count()) or likely(pairs, *rest))
+    expected = check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    assert sum(not kept for _, _, kept in expected.values()) == 2 and sum(counts[1:]) <= len(rows)
+
+
+def test_differences_decide_the_links(spark):
+    """g and the common differences tell for every two sets of a family whether they link, whichever its core."""
+    r = random.Random(11)
+    base = [f"w{k}" for k in range(60)]
+    sets = [set(edits(r, base, r.randint(0, 9), "x")[: r.randint(50, 60)]) | set(r.sample([f"y{k}" for k in range(6)], r.randint(0, 3))) for _ in range(40)]
+    ids = {x: k for k, x in enumerate(sorted(set().union(*sets)))}
+    sets = [np.sort(np.array([ids[x] for x in s])) for s in sets]
+    here = spark.createDataFrame([(7, k, len(s), k, 3 * k % 7) for k, s in enumerate(sets)], "key long, doc long, n long, comp long, central long")
+    whole = spark.createDataFrame([(k, s.astype("<u8").tobytes()) for k, s in enumerate(sets)], "doc long, elements binary")
+    found = {x.doc: x for x in setsketch._differences(here, whole, RULE).collect()}
+    linked = {(i, j) for i in found for j in found if i < j and 100 * len(both := np.intersect1d(sets[i], sets[j])) >= 85 * (len(sets[i]) + len(sets[j]) - len(both))}
+    assert linked and len(linked) < 700 and {x.fam for x in found.values()} == {0}
+    assert linked == {(i, j) for i in found for j in found if i < j and 370 * len({*found[i].d} & {*found[j].d}) >= found[i].g + found[j].g}
+
+
+def test_families_at_the_limit(spark):
+    """Sets of different sizes around several cores, some of them linked to each other only, against brute force."""
+    r, rows = random.Random(3), []
+    for family in range(3):
+        base = [f"f{family}w{k}" for k in range(80)]
+        cores = [edits(r, base, 5, f"f{family}c") for _ in range(3)]
+        rows += [" ".join(edits(r, r.choice(cores), r.randint(0, 4), "e")[: r.randint(72, 80)]) for _ in range(40)]
+    rows = list(enumerate(rows))
+    expected = check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows)
+    assert 3 < len({c for _, c, _ in expected.values()}) < 120
+
+
 def test_one_id_with_two_texts_is_one_document(spark):
     text = " ".join(f"w{k}" for k in range(60))
     rows = [(1, text), (1, "short"), (2, text), (3, "short"), (None, text)]
